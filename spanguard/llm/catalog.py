@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, language, pieces, sharding
+from . import chat, language, pieces, sharding, substrings
 from .common import table
 
 TOKENIZERS = os.environ.get("SPANGUARD_TOKENIZERS", "/opt/tokenizers")
@@ -32,11 +32,15 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(rows.unionByName(hard), tokenizer_bytes("byte_bpe_50k.json"), digests=True)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), length=400, digests=True)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece, op3_chat_format, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece, op3_chat_format, op8_suffix_dedup, op10_language_id)}
 
 ORACLE_SQL = {
     "op3_chat_format": r"""
