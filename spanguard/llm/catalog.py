@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, language, pieces, sharding, substrings
+from . import chat, language, neardup, pieces, sharding, substrings
 from .common import table
 
 TOKENIZERS = os.environ.get("SPANGUARD_TOKENIZERS", "/opt/tokenizers")
@@ -32,6 +32,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(rows.unionByName(hard), tokenizer_bytes("byte_bpe_50k.json"), digests=True)
 
 
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85).drop("th")
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), length=400, digests=True)
 
@@ -40,9 +44,26 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece, op3_chat_format, op8_suffix_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece, op3_chat_format, op7_minhash_dedup, op8_suffix_dedup, op10_language_id)}
 
 ORACLE_SQL = {
+    "op7_minhash_dedup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS l FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(l) = 0 THEN [] WHEN len(l) < 3 THEN [array_to_string(l, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(l) - 1), lambda i: l[i] || ' ' || l[i + 1] || ' ' || l[i + 2])) END AS a FROM w),
+n AS (SELECT doc_id, len(a) AS n FROM s),
+c AS (SELECT h, min(doc_id) AS rep FROM (SELECT doc_id, list_sort(a) AS h FROM s WHERE len(a) > 0) GROUP BY h),
+e AS (SELECT rep, unnest(h) AS g FROM c),
+p AS (SELECT x.rep AS u, y.rep AS v, count(*) AS i FROM e x JOIN e y ON x.g = y.g AND x.rep < y.rep GROUP BY x.rep, y.rep),
+k AS (
+  SELECT p.u, p.v FROM p JOIN n a ON a.doc_id = p.u JOIN n b ON b.doc_id = p.v WHERE 100 * i >= 85 * (a.n + b.n - i)
+  UNION SELECT c.rep, s.doc_id FROM c JOIN s ON list_sort(s.a) = c.h WHERE c.rep <> s.doc_id),
+b AS (SELECT u, v FROM k UNION SELECT v, u FROM k),
+r(a, z) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, b.v FROM r JOIN b ON b.u = r.z)
+SELECT n.doc_id, n.n AS n_shingles, min(r.z) AS component_id, n.doc_id = min(r.z) AS kept
+FROM n JOIN r ON r.a = n.doc_id GROUP BY n.doc_id, n.n""",
     "op3_chat_format": r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
