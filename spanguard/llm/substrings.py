@@ -131,6 +131,8 @@ def window_hashes(text: bytes, lo: int, hi: int, roller: Roller, length: int = L
 
 #: Distinct phrases of a trigger string up to which one task ranks them together.
 GROUP = 256
+#: Windows of a block, where there are more.
+BLOCK = 12
 _PHRASES = "doc_id long, th long, lo int, hi int, off int, kh long, ph long"
 
 
@@ -203,28 +205,53 @@ def _ranked(phr: DataFrame, length: int) -> DataFrame:
     return phr.repartition("kh").sortWithinPartitions("kh").select(*cols).mapInArrow(run, "doc_id long, th long, lo int, hi int")
 
 
-def _windows(phr: DataFrame, length: int) -> DataFrame:
-    """A row for each window of the phrases, where a trigger string has too many for one task."""
+def _blocks(phr: DataFrame, length: int) -> DataFrame:
+    """A row for each block of windows of a phrase, where a trigger string has too many for one task.
+
+    ``core`` is the fingerprint of what all windows of the block have in common, ``bh`` that of all
+    their bytes, ``w`` has the windows' own.
+    """
 
     def make():
         roller = Roller(length)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = [[] for _ in range(6)]
+            out = []
             for doc, th, lo, hi, off, kh, n, raw in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "lo", "hi", "off", "kh", "n", "raw"))):
-                m = hi - lo + 1
-                o = (off - np.arange(m)).astype(np.uint64)
-                for c, v in zip(out, (np.full(m, doc if doc is not None else 0), np.full(m, th), np.arange(lo, hi + 1), np.full(m, kh), mix(window_hashes(raw, 0, hi - lo, roller, length) + o * np.uint64(1000003)).view(np.int64), np.full(m, n))):
-                    c.append(v)
-                if doc is None:
-                    out[0][-1] = None, m
-            docs = pa.concat_arrays([pa.nulls(x[1], pa.int64()) if isinstance(x, tuple) else pa.array(x.astype(np.int64)) for x in out[0]])
-            rest = [np.concatenate(c).astype(np.int64) for c in out[1:]]
-            return pa.RecordBatch.from_arrays([docs, *map(pa.array, rest)], names=["doc_id", "th", "p", "kh", "w", "n"])
+                o = off - np.arange(hi - lo + 1)
+                w = mix(window_hashes(raw, 0, hi - lo, roller, length) + o.astype(np.uint64) * np.uint64(1000003)).view(np.int64)
+                block = o // BLOCK
+                at = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+                to = np.append(at[1:], len(o))
+                start = off - block[at] * BLOCK  # a phrase's first and last block may lack windows, but have the core
+                core = mix(roller.hash(start, start - BLOCK + 1 + length) + block[at].astype(np.uint64))
+                place = o[at].astype(np.uint64) * np.uint64(1000003) + (to - at).astype(np.uint64)
+                whole = mix(roller.hash(at, to - 1 + length) + place)
+                for i, j, c, b in zip(at.tolist(), to.tolist(), core.view(np.int64).tolist(), whole.view(np.int64).tolist()):
+                    out.append((doc, th, kh, c, b, lo + i, lo + j - 1, n, w[i:j]))
+            kinds = (*[pa.int64()] * 5, pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["doc_id", "th", "kh", "core", "bh", "lo", "hi", "n", "w"])
 
         return step
 
-    return map_batches(phr, make, "doc_id long, th long, p long, kh long, w long, n long")
+    return map_batches(phr, make, "doc_id long, th long, kh long, core long, bh long, lo int, hi int, n long, w array<long>")
+
+
+def _wide(phr: DataFrame, scratch: Scratch, length: int) -> DataFrame:
+    """Repeated windows of phrases seen once, by blocks first and then by the windows of what is left.
+
+    A block whose bytes occur twice is repeated as a whole, one whose core occurs once has no
+    repeated window. A phrase at the edge of a passage keeps one block for the last step.
+    """
+    each = scratch.save(_blocks(phr, length), "blocks")
+    words = scratch.save(each.groupBy("kh", "core", "bh").agg(F.count("*").alias("m"), F.min(F.struct("doc_id", "th", "lo", "n", "w")).alias("rep")), "block-words")
+    whole = each.where("n = 1").join(words.where("m > 1").select("kh", "core", "bh"), ["kh", "core", "bh"]).select("doc_id", "th", "lo", "hi")
+    cores = words.groupBy("kh", "core").agg(F.count("*").alias("c")).where("c > 1").select("kh", "core")
+    left = words.join(scratch.save(cores, "cores"), ["kh", "core"])
+    single = scratch.save(left.select("rep.doc_id", "rep.th", "rep.lo", "kh", ((F.col("m") == 1) & (F.col("rep.n") == 1)).alias("open"), F.posexplode("rep.w").alias("k", "f")), "windows")
+    twice = scratch.save(single.groupBy("kh", "f").agg(F.count("*").alias("t")).where("t > 1").select("kh", "f"), "repeated")
+    at = (F.col("lo") + F.col("k")).cast("int")
+    return whole.unionByName(single.where("open").join(twice, ["kh", "f"]).select("doc_id", "th", at.alias("lo"), at.alias("hi")))
 
 
 def repeated_spans(rows: DataFrame, scratch: Scratch, length: int = LENGTH, group: int = GROUP) -> DataFrame:
@@ -248,9 +275,7 @@ def repeated_spans(rows: DataFrame, scratch: Scratch, length: int = LENGTH, grou
     phr = scratch.save(map_batches(texts, lambda: lambda b: _cut_phrases(b, length), "doc_id long, th long, lo int, hi int, off int, kh long, n long, large boolean, raw binary").dropDuplicates(["doc_id", "th", "lo"]), "phrases")
     local = _ranked(phr.where("not large"), length)
 
-    each = scratch.save(_windows(phr.where("large").repartition("doc_id", "lo"), length), "windows")
-    twice = scratch.save(each.groupBy("kh", "w").agg(F.count("*").alias("m")).where("m > 1").drop("m"), "repeated")
-    wide = each.where("n = 1").join(twice, ["kh", "w"]).select("doc_id", "th", F.col("p").cast("int").alias("lo"), F.col("p").cast("int").alias("hi"))
+    wide = _wide(phr.where("large").repartition("doc_id", "lo"), scratch, length)
     return whole.unionByName(local).unionByName(wide).groupBy("doc_id", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
 
 
