@@ -26,7 +26,7 @@ from .common import map_batches
 
 MARK = "▁"
 #: Entries of a worker's memo of cuts, and of its memo of neighbouring tokens.
-MEMO = 800_000
+MEMO = 1_000_000
 _CUTS = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
@@ -180,6 +180,17 @@ class _Cuts(dict):
         return ids
 
 
+_held: dict[bytes, PieceModel] = {}
+
+
+def held_model(model: bytes) -> PieceModel:
+    """The model with its memos, kept from task to task while the Python worker lives."""
+    if model not in _held:
+        _held.clear()
+        _held[model] = PieceModel(model)
+    return _held[model]
+
+
 def encode_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
     """Rows doc_id, ids array<int>, decoded string; with ``digests`` their count and SHA-256 instead.
 
@@ -188,7 +199,7 @@ def encode_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
 
     def plain():
-        m = PieceModel(model)
+        m = held_model(model)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             joined = [m.joined(t) for t in batch.column("text").to_pylist()]
@@ -198,7 +209,7 @@ def encode_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text
         return step
 
     def digest():
-        m = PieceModel(model)
+        m = held_model(model)
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
