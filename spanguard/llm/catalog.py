@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, language, neardup, pieces, sharding, substrings
+from . import chat, decontaminate, language, neardup, pieces, sharding, substrings
 from .common import table
 
 TOKENIZERS = os.environ.get("SPANGUARD_TOKENIZERS", "/opt/tokenizers")
@@ -32,6 +33,11 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(rows.unionByName(hard), tokenizer_bytes("byte_bpe_50k.json"), digests=True)
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_items", F.array_join("items", ",").alias("items"), "n_words", "contaminated")
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85).drop("th")
 
@@ -44,9 +50,28 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece, op3_chat_format, op7_minhash_dedup, op8_suffix_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece, op3_chat_format, op6_decontaminate, op7_minhash_dedup, op8_suffix_dedup, op10_language_id)}
 
 ORACLE_SQL = {
+    # a window of 13 words with at most 2 differences has 4 equal words in a row
+    "op6_decontaminate": r"""
+WITH w AS (SELECT doc_id, string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') AS l FROM documents),
+i AS (SELECT item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS m FROM benchmark WHERE text IS NOT NULL),
+j AS (SELECT item_id, m, least(len(m), 13) AS width, CASE WHEN len(m) >= 13 THEN 11 ELSE len(m) END AS need FROM i WHERE len(m) >= 7),
+dg AS (SELECT doc_id, p, l[p] || ' ' || l[p + 1] || ' ' || l[p + 2] || ' ' || l[p + 3] AS g FROM (SELECT doc_id, l, unnest(range(1, len(l) - 2)) AS p FROM w)),
+ig AS (SELECT item_id, q, m[q] || ' ' || m[q + 1] || ' ' || m[q + 2] || ' ' || m[q + 3] AS g FROM (SELECT item_id, m, unnest(range(1, len(m) - 2)) AS q FROM j)),
+h AS (SELECT DISTINCT doc_id, item_id, p - q AS diag FROM dg JOIN ig USING (g)),
+v AS (
+  SELECT h.doc_id, h.item_id, diag, width, need, len(m) AS n,
+    list_transform(range(1, len(m) + 1), lambda k: CASE WHEN diag + k >= 1 AND diag + k <= len(l) AND l[greatest(diag + k, 1)] = m[k] THEN 1 ELSE 0 END) AS e
+  FROM h JOIN w USING (doc_id) JOIN j USING (item_id)),
+s AS (SELECT doc_id, item_id, diag, width, need, e, unnest(range(1, n - width + 2)) AS k FROM v),
+o AS (SELECT doc_id, item_id, diag + k AS a, width FROM s WHERE list_sum(e[k:k + width - 1]) >= need),
+t AS (SELECT DISTINCT doc_id, unnest(range(a, a + width)) AS p FROM o),
+c AS (SELECT doc_id, count(*) AS n_words FROM t GROUP BY doc_id),
+d AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT doc_id, item_id FROM o) GROUP BY doc_id)
+SELECT x.doc_id, coalesce(n_items, 0) AS n_items, coalesce(items, '') AS items, coalesce(n_words, 0) AS n_words, n_items IS NOT NULL AS contaminated
+FROM documents x LEFT JOIN c USING (doc_id) LEFT JOIN d USING (doc_id)""",
     "op7_minhash_dedup": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS l FROM documents),

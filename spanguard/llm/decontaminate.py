@@ -99,7 +99,7 @@ def overlaps(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col
 def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **names) -> DataFrame:
     """Rows doc_id, th, n_items, items, n_words (of the document, inside overlaps), contaminated, for every row of ``docs``."""
     found = overlaps(docs, bench, id_col, text_col, **names)
-    at = F.flatten(F.collect_list(F.flatten(F.transform("spans", lambda s: F.array(F.sequence(s["start"], s["stop"] - 1))))))
+    at = F.flatten(F.collect_list(F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["stop"] - 1)))))
     per = found.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.size(F.array_distinct(at)).cast("long").alias("n_words"))
     per = per.withColumnRenamed("doc_id", "i").withColumnRenamed("th", "t")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("th"))
