@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, neardup, pieces, sharding, substrings
+from . import chat, decontaminate, language, mainhtml, neardup, pieces, sharding, substrings
 from .common import table
 
 TOKENIZERS = os.environ.get("SPANGUARD_TOKENIZERS", "/opt/tokenizers")
@@ -33,6 +33,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(rows.unionByName(hard), tokenizer_bytes("byte_bpe_50k.json"), digests=True)
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mainhtml.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_items", F.array_join("items", ",").alias("items"), "n_words", "contaminated")
@@ -50,7 +54,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece, op3_chat_format, op6_decontaminate, op7_minhash_dedup, op8_suffix_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece, op3_chat_format, op5_html_extraction, op6_decontaminate, op7_minhash_dedup, op8_suffix_dedup, op10_language_id)}
 
 ORACLE_SQL = {
     # a window of 13 words with at most 2 differences has 4 equal words in a row

@@ -30,7 +30,8 @@ SHORTEST = 7
 BROADCAST_SEEDS = 500_000
 #: Distinct pairs of words up to which they become a set in the plan; with more, all positions get seeds.
 PAIR_SET = 50_000
-_FACTORS = (-7046029254386353131, -4417276706812531889, 1609587929392839161, -8796714831421723037, 2870177450012600261)
+#: Tells the masks' seeds apart.
+_SALTS = (-7046029254386353131, -4417276706812531889, 1609587929392839161)
 
 
 def _let(value: Column, body) -> Column:
@@ -42,22 +43,22 @@ def word_array(text: Column) -> Column:
     return F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
 
 
-def _hash(h: Column, at, mask) -> Column:
-    total = None
-    for p, f in zip(mask, _FACTORS):
-        # bits are mixed without a product, which would overflow
-        x = F.shiftleft(F.get(h, at + p), 7 * mask.index(p)).bitwiseXOR(F.shiftrightunsigned(F.get(h, at + p), 64 - 7 * mask.index(p))) if p else F.get(h, at)
-        total = x if total is None else total.bitwiseXOR(x)
-    return total.bitwiseXOR(F.lit(_FACTORS[MASKS.index(mask)] if mask in MASKS else 0))
+def _hash(h: Column, at: Column, mask: tuple[int, ...], salt: int = 0) -> Column:
+    """The word hashes at the mask's positions, each rotated by its place and combined; null beyond the end."""
+    total = F.get(h, at).bitwiseXOR(F.lit(salt))
+    for k, p in enumerate(mask[1:], 1):
+        x = F.get(h, at + p)
+        total = total.bitwiseXOR(F.shiftleft(x, 7 * k).bitwiseOR(F.shiftrightunsigned(x, 64 - 7 * k)))
+    return total
 
 
-def _pair(h: Column, at) -> Column:
+def _pair(h: Column, at: Column) -> Column:
     return _hash(h, at, (0, 1))
 
 
 def _seeds(h: Column, places: Column) -> Column:
     """Array of (position, seed) for the positions in ``places``; a seed that runs over the end is null."""
-    return F.flatten(F.transform(places, lambda i: F.array(*[F.struct(i.alias("pos"), _hash(h, i, m).alias("seed")) for m in MASKS])))
+    return F.flatten(F.transform(places, lambda i: F.array(*[F.struct(i.alias("pos"), _hash(h, i, m, salt).alias("seed")) for m, salt in zip(MASKS, _SALTS)])))
 
 
 def overlaps(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
