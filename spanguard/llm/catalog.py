@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, mainhtml, neardup, pieces, sharding, substrings
+from . import chat, decontaminate, language, mainhtml, neardup, pieces, sharding, substrings, vectors
 from .common import table
 
 TOKENIZERS = os.environ.get("SPANGUARD_TOKENIZERS", "/opt/tokenizers")
@@ -50,13 +50,24 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), length=400, digests=True)
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece, op3_chat_format, op5_html_extraction, op6_decontaminate, op7_minhash_dedup, op8_suffix_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece, op3_chat_format, op5_html_extraction, op6_decontaminate, op7_minhash_dedup, op8_suffix_dedup, op9_embedding_dedup, op10_language_id)}
 
 ORACLE_SQL = {
+    "op9_embedding_dedup": r"""
+WITH RECURSIVE x AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+f AS (SELECT * FROM x WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(v, lambda e: e <> 0)) > 0),
+b AS (SELECT p.vec_id AS u, q.vec_id AS w FROM f p JOIN f q ON p.label = q.label AND p.vec_id <> q.vec_id WHERE len(p.v) = len(q.v) AND list_cosine_similarity(p.v, q.v) >= 0.98),
+r(a, z) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, b.w FROM r JOIN b ON b.u = r.z),
+n AS (SELECT u, count(*) AS n FROM b GROUP BY u)
+SELECT r.a AS vec_id, coalesce(any_value(n.n), 0) AS n_links, min(r.z) AS component_id, r.a = min(r.z) AS kept FROM r LEFT JOIN n ON n.u = r.a GROUP BY r.a""",
     # a window of 13 words with at most 2 differences has 4 equal words in a row
     "op6_decontaminate": r"""
 WITH w AS (SELECT doc_id, string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') AS l FROM documents),
