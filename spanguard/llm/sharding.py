@@ -75,7 +75,9 @@ def shard(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col:
 
     # weighted sampling without replacement: the least of exponential variables with rate size
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", "h", F.lit(17)), 11) + 1) / F.lit(float(2**53 + 1))
-    sample = [r.h for r in rows.select((-F.log(u) / F.col("size")).alias("e"), "h").orderBy("e", "h").limit(n_ranges * SAMPLE_PER_RANGE).collect()]
+    wanted = n_ranges * SAMPLE_PER_RANGE
+    drawn = rows.select((-F.log(u) / F.col("size")).alias("e"), "h").where(F.col("e") < 2 * wanted / max(total, 1))  # about twice as many as wanted
+    sample = [r.h for r in drawn.orderBy("e", "h").limit(wanted).collect()]
     sample.sort()
     bounds = sorted({sample[i * len(sample) // n_ranges] for i in range(1, n_ranges)}) if sample else []
 
