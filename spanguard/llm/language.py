@@ -20,7 +20,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_batches
@@ -129,15 +129,17 @@ def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The bounded sample: text and lang, the same for the same table."""
     crc = F.crc32(F.col(id_col).cast("string").cast("binary"))
     usable = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.coalesce(crc, F.lit(0)) % 5 != 0)).select(F.col(id_col).alias("i"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    u = F.xxhash64("i", F.lit(SEED))
-    langs = [r.lang for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    parts = [usable.where(F.col("lang") == g).select("lang", "text", u.alias("u"), "i").orderBy("u", "i", "text").limit(TRAIN_DOCS).select("lang", "text") for g in sorted(langs)]
-    if not parts:
+    u = F.shiftrightunsigned(F.xxhash64("i", F.lit(SEED)), 11) / F.lit(float(2**53))
+    usable = usable.withColumn("u", u)
+    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    if not counts:
         return usable.select("lang", "text").limit(0)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+    # twice as many as wanted pass a threshold, whatever the table's size, and few are left to sort
+    below = F.lit(None).cast("boolean")
+    for r in counts:
+        below = F.when(F.col("lang") == r.lang, F.col("u") < 2 * TRAIN_DOCS / r["count"]).otherwise(below)
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("u", "i", "text"))
+    return usable.where(below).withColumn("nth", nth).where(F.col("nth") <= TRAIN_DOCS).orderBy("lang", "nth").select("lang", "text")
 
 
 def train(rows: list[tuple[str, str]]) -> ByteNet | None:
@@ -160,26 +162,28 @@ def train(rows: list[tuple[str, str]]) -> ByteNet | None:
     return net
 
 
+def predict(tables: dict | None, net: ByteNet | None, text: str | None) -> tuple[str, float]:
+    """Language and score of one text."""
+    if net is None or not text or not _LETTER.search(text):
+        return "und", 0.0
+    x = windows_of(text.lower().encode())
+    # windows are summed in pieces, so a very long text needs no more memory than a piece
+    z = sum(window_logits(tables, x[at : at + 1024]).astype(np.float64).sum(0) for at in range(0, len(x), 1024)) / len(x)
+    p = np.exp(z - z.max())
+    p /= p.sum()
+    k = int(p.argmax())
+    return net.languages[k], float(p[k])
+
+
 def identify(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows doc_id, held_out, lang_pred, score."""
     crc = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(0))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (crc % 5 == 0).alias("held_out"), F.col(text_col).alias("text"))
-    tables, languages = (net.tables(), net.languages) if net else (None, [])
+    tables = net.tables() if net else None
 
     def make():
-        def one(text: str | None) -> tuple[str, float]:
-            if net is None or not text or not _LETTER.search(text):
-                return "und", 0.0
-            x = windows_of(text.lower().encode())
-            # windows are summed in pieces, so a very long text needs no more memory than a piece
-            z = sum(window_logits(tables, x[at : at + 1024]).astype(np.float64).sum(0) for at in range(0, len(x), 1024)) / len(x)
-            p = np.exp(z - z.max())
-            p /= p.sum()
-            k = int(p.argmax())
-            return languages[k], float(p[k])
-
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [one(t) for t in batch.column("text").to_pylist()]
+            found = [predict(tables, net, t) for t in batch.column("text").to_pylist()]
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array([a for a, _ in found], pa.string()), pa.array([b for _, b in found], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
         return step
@@ -187,6 +191,19 @@ def identify(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text_
     return map_batches(rows, make, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, net: ByteNet | None, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is found with a score of ``least`` or more."""
+    tables = net.tables() if net else None
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return batch.filter(pa.array([predict(tables, net, t)[1] >= least for t in batch.column(text_col).to_pylist()], pa.bool_()))
+
+        return step
+
+    return map_batches(docs, make, docs.schema)
+
+
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Train on the table's own labelled rows and predict every row."""
     sample = [(r.lang, r.text) for r in training_rows(docs, id_col, text_col, lang_col).collect()]
