@@ -1,10 +1,65 @@
-"""A pipeline over ``documents`` whose stages each apply one operator of ``spanguard.llm``."""
+"""A pipeline over ``documents`` whose stages each apply one operator of ``spanguard.llm``.
+
+Every stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns the
+columns of documents; the last one returns the documents' ids. Between stages the rows are
+written to the shared folder, so a lost executor costs one stage at most.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spanguard.llm import catalog, decontaminate, language, neardup, pieces, substrings
+from spanguard.llm.common import Scratch, table
+
+#: Bytes of a repeated passage; the shortest that should go have some more than 50 words.
+PASSAGE = 240
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go whose language isn't found (no text, no letter, or a score under 0.5)."""
+    sample = [(r.lang, r.text) for r in language.training_rows(docs).collect()]
+    return language.keep_identified(docs, language.train(sample))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group at a similarity of 0.8 on five words stays."""
+    return neardup.drop_near_duplicates(docs, k=5, percent=80)
+
+
+def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that occur more than once are cut out; all documents stay."""
+    return substrings.strip_repeats(docs, length=PASSAGE)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows doc_id, n_tokens, ids, decoded of every document that is left."""
+    out = pieces.encode_documents(docs, catalog.tokenizer_bytes("piece_bpe_32k.model"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
+
+
+STAGES = [
+    ("language", language_stage),
+    ("near-duplicates", near_duplicate_stage),
+    ("repeated-passages", repeated_passage_stage),
+    ("benchmark", benchmark_stage),
+    ("tokens", token_stage),
+]
+
+#: A trained network and piece encoding have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written as Parquet and read again."""
+    scratch = Scratch(spark, "pipeline")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = scratch.save(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

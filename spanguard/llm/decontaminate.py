@@ -106,3 +106,10 @@ def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("th"))
     out = rows.join(per, rows.doc_id.eqNullSafe(per.i) & (rows.th == per.t), "left")
     return out.select("doc_id", "th", F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.array().cast("array<long>")).alias("items"), F.coalesce("n_words", F.lit(0).cast("long")).alias("n_words"), F.col("items").isNotNull().alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **names) -> DataFrame:
+    """The rows of ``docs``, all columns, without an overlap with the benchmark."""
+    found = overlaps(docs, bench, id_col, text_col, **names).select(F.col("doc_id").alias("i"), F.col("th").alias("t")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"))
+    return rows.join(found, rows.id.eqNullSafe(found.i) & (rows.th == found.t), "left_anti").select("row.*")

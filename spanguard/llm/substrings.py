@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import Scratch, map_batches
 
@@ -330,3 +331,42 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     out = map_batches(both, make, f"doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start: int, stop: int>>, {last[0]} {'string' if digests else 'binary'}")
     return out.drop("spans") if digests else out
+
+
+def strip_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, with the repeated strings cut out of the text; n_chars, if there, follows.
+
+    A character goes if all its bytes are covered, so the text stays UTF-8. Null texts stay null.
+    """
+    scratch = Scratch(docs.sparkSession, "strip")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    runs = repeated_spans(rows.select("doc_id", "th", "text").where(F.octet_length("text") >= length), scratch, length)
+    runs = runs.withColumnRenamed("doc_id", "i").withColumnRenamed("th", "h")
+    both = rows.join(runs, rows.doc_id.eqNullSafe(runs.i) & (rows.th == runs.h), "left").select("row", "text", "runs")
+
+    def make():
+        def cut(text: str, runs) -> str:
+            if not runs:
+                return text
+            raw, kept, at = text.encode(), [], 0
+            inside = lambda i: i < len(raw) and raw[i] & 0xC0 == 0x80
+            for a, b in spans_of(runs, length):
+                while inside(a):
+                    a += 1
+                while inside(b):
+                    b -= 1
+                kept.append(raw[at:a])
+                at = b
+            return b"".join([*kept, raw[at:]]).decode()
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            texts = [cut(t, r) for t, r in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist())]
+            return pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "cut"])
+
+        return step
+
+    out = map_batches(both, make, StructType([both.schema["row"], StructField("cut", StringType())]))
+    new = F.when(F.col(f"row.{text_col}").isNotNull(), F.col("cut"))
+    changed = {text_col: new, "n_chars": F.when(F.col("row.n_chars").isNotNull(), F.coalesce(F.length(new), F.lit(0))).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    return out.select(*[(changed.get(c) if changed.get(c) is not None else F.col("row")[c]).alias(c) for c in docs.columns])
