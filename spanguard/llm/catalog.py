@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, mainhtml, neardup, pieces, sharding, substrings, vectors
+from . import chat, decontaminate, language, mainhtml, neardup, pieces, quality, sharding, substrings, vectors
 from .common import table
 
 TOKENIZERS = os.environ.get("SPANGUARD_TOKENIZERS", "/opt/tokenizers")
@@ -33,6 +33,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(rows.unionByName(hard), tokenizer_bytes("byte_bpe_50k.json"), digests=True)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mainhtml.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -58,7 +62,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece, op3_chat_format, op5_html_extraction, op6_decontaminate, op7_minhash_dedup, op8_suffix_dedup, op9_embedding_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece, op3_chat_format, op4_quality, op5_html_extraction, op6_decontaminate, op7_minhash_dedup, op8_suffix_dedup, op9_embedding_dedup, op10_language_id)}
 
 ORACLE_SQL = {
     "op9_embedding_dedup": r"""
