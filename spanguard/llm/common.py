@@ -56,6 +56,18 @@ class Scratch:
         out._spanguard_path = path
         return out
 
+    def bucketed(self, df: DataFrame, key: str) -> DataFrame:
+        """A table in the shared warehouse, bucketed by ``key``: joins by it needn't move its rows again."""
+        name = f"spanguard_{uuid.uuid4().hex}"
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        df.repartition(n, key).write.bucketBy(n, key).format("parquet").saveAsTable(name)
+        out = self.spark.table(name)
+        out._spanguard_table = name
+        return out
+
+    def forget(self, table: DataFrame) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {table._spanguard_table}")
+
     def drop(self, *tables: DataFrame) -> None:
         for df in tables:
             at, fs = self._path(df._spanguard_path)
