@@ -81,12 +81,12 @@ dg AS (SELECT doc_id, p, l[p] || ' ' || l[p + 1] || ' ' || l[p + 2] || ' ' || l[
 ig AS (SELECT item_id, q, m[q] || ' ' || m[q + 1] || ' ' || m[q + 2] || ' ' || m[q + 3] AS g FROM (SELECT item_id, m, unnest(range(1, len(m) - 2)) AS q FROM j)),
 h AS (SELECT DISTINCT doc_id, item_id, p - q AS diag FROM dg JOIN ig USING (g)),
 v AS (
-  SELECT h.doc_id, h.item_id, diag, width, need, len(m) AS n,
+  SELECT h.doc_id, h.item_id, diag, width, need, len(m) AS n, len(l) AS size,
     list_transform(range(1, len(m) + 1), lambda k: CASE WHEN diag + k >= 1 AND diag + k <= len(l) AND l[greatest(diag + k, 1)] = m[k] THEN 1 ELSE 0 END) AS e
   FROM h JOIN w USING (doc_id) JOIN j USING (item_id)),
-s AS (SELECT doc_id, item_id, diag, width, need, e, unnest(range(1, n - width + 2)) AS k FROM v),
-o AS (SELECT doc_id, item_id, diag + k AS a, width FROM s WHERE list_sum(e[k:k + width - 1]) >= need),
-t AS (SELECT DISTINCT doc_id, unnest(range(a, a + width)) AS p FROM o),
+s AS (SELECT doc_id, item_id, diag, width, need, size, e, unnest(range(1, n - width + 2)) AS k FROM v),
+o AS (SELECT doc_id, item_id, greatest(diag + k, 1) AS a, least(diag + k + width, size + 1) AS b FROM s WHERE list_sum(e[k:k + width - 1]) >= need),
+t AS (SELECT DISTINCT doc_id, unnest(range(a, b)) AS p FROM o),
 c AS (SELECT doc_id, count(*) AS n_words FROM t GROUP BY doc_id),
 d AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT doc_id, item_id FROM o) GROUP BY doc_id)
 SELECT x.doc_id, coalesce(n_items, 0) AS n_items, coalesce(items, '') AS items, coalesce(n_words, 0) AS n_words, n_items IS NOT NULL AS contaminated

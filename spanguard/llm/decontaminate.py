@@ -1,8 +1,8 @@
 """Benchmark decontamination by spaced-seed hashing, with DataFrame functions only.
 
 Words are the lower-cased runs of letters and digits. An overlap is a window of ``WINDOW``
-aligned words of a benchmark item of which at most ``MISSES`` differ; an item of fewer words
-counts where all of it stands in a row. A seed is the hash of the words at the positions of a
+aligned words of a benchmark item of which at most ``MISSES`` differ, words beyond the document's
+ends included; an item of fewer words counts where all of it stands in a row. A seed is the hash of the words at the positions of a
 mask, the other positions are ignored. Any two differences in a window leave one of the masks
 untouched somewhere (a test goes through all), so no overlap is missed. Seeds of documents meet
 seeds of the benchmark in a join, and every hit's whole diagonal is then verified word by word.
@@ -91,7 +91,7 @@ def overlaps(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col
         width, least = F.least(n, F.lit(WINDOW)), F.when(n >= WINDOW, WINDOW - MISSES).otherwise(n)
         same = F.transform(hit["item"], lambda w, j: F.coalesce((F.get(words, hit["diag"] + j) == w).cast("int"), F.lit(0)))
         full = lambda e: F.filter(F.sequence(F.lit(0), n - width), lambda s: F.aggregate(F.slice(e, s + 1, width), F.lit(0), lambda a, b: a + b) >= least)
-        return F.transform(_let(same, full), lambda s: F.struct((hit["diag"] + s).alias("start"), (hit["diag"] + s + width).alias("stop")))
+        return F.transform(_let(same, full), lambda s: F.struct(F.greatest(hit["diag"] + s, F.lit(0)).alias("start"), F.least(hit["diag"] + s + width, F.size(words)).alias("stop")))
 
     checked = _let(word_array(F.col("text")), lambda w: F.transform(F.col("hits"), lambda x: F.struct(x["item_id"].alias("item_id"), x["diag"].alias("diag"), spans(w, x).alias("spans"))))
     return texts.select("doc_id", "th", F.explode(checked).alias("o")).select("doc_id", "th", "o.item_id", "o.diag", "o.spans").where(F.size("spans") > 0)

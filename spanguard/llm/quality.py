@@ -208,7 +208,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> tuple[CoM
         """Words and metadata in an order of their own, so that a fit is the same each time."""
         columns = [rows[c].combine_chunks() for c in ("id", "words", "meta")]
         if not rows.num_rows:
-            return [], np.zeros((0, 0), np.float32), np.zeros(0, int)
+            return [], np.zeros((0, len(metadata("", None, None))), np.float32), np.zeros(0, int)
         words, at = columns[1].flatten().to_numpy(), np.append(0, np.cumsum(columns[1].value_lengths().to_numpy()))
         meta = columns[2].flatten().to_numpy().reshape(rows.num_rows, -1)
         order = np.lexsort((meta[:, 0], columns[0].to_numpy()))
@@ -217,7 +217,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> tuple[CoM
     words, meta, order = arrays(train)
     pool_words, pool_meta, _ = arrays(pool)
     y = train["y"].to_numpy()[order] if len(order) else np.zeros(0)
-    pool_meta, fine = pool_meta.reshape(len(pool_words), meta.shape[1]), np.flatnonzero(y > 0)
+    fine = np.flatnonzero(y > 0)
     first = CoModel().fit(words, meta, (y > 0).astype(float), pool_words, pool_meta)
     second = CoModel().fit([words[i] for i in fine], meta[fine], (y[fine] > 1).astype(float), pool_words, pool_meta)
     return first, second
