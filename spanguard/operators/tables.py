@@ -15,7 +15,7 @@ def stratified_head(df: DataFrame, field: str, n: int, row_id: str, missing: str
     groups = df.groupBy("_group").agg(F.min(row_id).alias("_first"))
     per = max(1, n // max(1, groups.count()))
     ranked = df.withColumn("_nth", F.row_number().over(Window.partitionBy("_group").orderBy(row_id))).where(F.col("_nth") <= per)
-    return ranked.join(F.broadcast(groups) if per < n else groups, "_group").orderBy("_first", row_id).limit(n).drop("_group", "_first", "_nth")
+    return ranked.join(groups, "_group").orderBy("_first", row_id).limit(n).drop("_group", "_first", "_nth")
 
 
 def keep_first(df: DataFrame, key: str, order: str) -> DataFrame:
