@@ -4,7 +4,8 @@ Equal vectors of a label are one vertex with a multiplicity. Neighbour lists beg
 of small blocks (leaves of random-projection trees, a label at a time) and are refined by
 joining neighbours of neighbours: around each vertex, all that list it or are listed by it are
 compared with each other, and every one keeps its best. A list full of links is saturated and
-may grow twice as long. Rounds end when no link is new. An audit compares a bounded sample
+doubles, up to ``LONGEST`` (whatever has more links than that is dense enough to be connected,
+which the audit checks, and all its links are counted later). Rounds end when no link is new. An audit compares a bounded sample
 with all vectors exactly; below ``AUDIT`` recall, more trees and rounds follow.
 
 Links at the threshold give components. Two linked vectors always share one, so each component
@@ -30,6 +31,8 @@ from .components import components
 TREES, LEAF, LIST, ROUNDS, BLOCK, AUDIT = 6, 128, 12, 4, 512, 0.99
 #: Vectors that are compared with all others to measure recall, at most.
 AUDIT_ROWS = 256
+#: Length that a saturated list may reach.
+LONGEST = 48
 _CODE = 40
 
 
@@ -109,7 +112,7 @@ def _round(lists: DataFrame, vectors: DataFrame, scratch: Scratch, threshold: fl
     sizes = scratch.save(around.groupBy("w").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "sizes")
     # who is listed by very many meets them in blocks
     groups = around.join(sizes, "w").select(F.xxhash64("w", F.pmod(F.xxhash64("x", "w"), "parts")).alias("g"), "x")
-    ks = lists.select("x", F.when((F.size("l") >= F.col("k")) & (F.element_at("l", -1)["s"] >= threshold), F.col("k") * 2).otherwise(F.col("k")).alias("k"))
+    ks = lists.select("x", F.when((F.size("l") >= F.col("k")) & (F.element_at("l", -1)["s"] >= threshold), F.least(F.col("k") * 2, F.lit(LONGEST))).otherwise(F.col("k")).alias("k"))
     ks = scratch.save(ks, "limits")
     found = _best(groups.join(ks, "x").join(vectors.select("x", "v"), "x")).join(ks, "x")
     old = lists.drop("k").join(ks, "x").select("x", F.transform("l", lambda e: F.struct(e["y"].alias("y"), e["s"].alias("s"))).alias("found"), "k")
