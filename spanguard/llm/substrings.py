@@ -246,13 +246,25 @@ def _wide(phr: DataFrame, scratch: Scratch, length: int) -> DataFrame:
     """
     each = scratch.save(_blocks(phr, length), "blocks")
     words = scratch.save(each.groupBy("kh", "core", "bh").agg(F.count("*").alias("m"), F.min(F.struct("doc_id", "th", "lo", "n", "w")).alias("rep")), "block-words")
-    whole = each.where("n = 1").join(words.where("m > 1").select("kh", "core", "bh"), ["kh", "core", "bh"]).select("doc_id", "th", "lo", "hi")
+    whole = _without(each.where("n = 1"), words.where("m = 1").select("rep.doc_id", "rep.th", "rep.lo")).select("doc_id", "th", "lo", "hi")
     cores = words.groupBy("kh", "core").agg(F.count("*").alias("c")).where("c > 1").select("kh", "core")
     left = words.join(scratch.save(cores, "cores"), ["kh", "core"])
-    single = scratch.save(left.select("rep.doc_id", "rep.th", "rep.lo", "kh", ((F.col("m") == 1) & (F.col("rep.n") == 1)).alias("open"), F.posexplode("rep.w").alias("k", "f")), "windows")
-    twice = scratch.save(single.groupBy("kh", "f").agg(F.count("*").alias("t")).where("t > 1").select("kh", "f"), "repeated")
-    at = (F.col("lo") + F.col("k")).cast("int")
-    return whole.unionByName(single.where("open").join(twice, ["kh", "f"]).select("doc_id", "th", at.alias("lo"), at.alias("hi")))
+    at = (F.col("rep.lo") + F.col("k")).cast("int")
+    single = left.select(F.col("rep"), "kh", ((F.col("m") == 1) & (F.col("rep.n") == 1)).alias("open"), F.posexplode("rep.w").alias("k", "f"))
+    single = scratch.save(single.select("rep.doc_id", "rep.th", at.alias("lo"), "kh", "f", "open"), "windows")
+    once = single.groupBy("kh", "f").agg(F.count("*").alias("t"), F.min(F.struct("doc_id", "th", "lo")).alias("rep")).where("t = 1").select("rep.*")
+    open_ = _without(single.where("open"), scratch.save(once, "once"))
+    return whole.unionByName(open_.select("doc_id", "th", "lo", F.col("lo").alias("hi")))
+
+
+def _without(rows: DataFrame, single: DataFrame) -> DataFrame:
+    """The rows whose place (doc_id, th, lo) isn't one of ``single``.
+
+    What occurs more than once is what isn't listed as occurring once, and places are dealt evenly
+    where a string that occurs very often would meet itself in one task.
+    """
+    s = single.select(F.col("doc_id").alias("i"), F.col("th").alias("t"), F.col("lo").alias("l"))
+    return rows.join(s, rows.doc_id.eqNullSafe(s.i) & (rows.th == s.t) & (rows.lo == s.l), "left_anti")
 
 
 def repeated_spans(rows: DataFrame, scratch: Scratch, length: int = LENGTH, group: int = GROUP) -> DataFrame:
@@ -265,7 +277,7 @@ def repeated_spans(rows: DataFrame, scratch: Scratch, length: int = LENGTH, grou
 
     mixed = hits.where("not one")
     words = scratch.save(mixed.groupBy("kh", "ph").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "lo", "hi", "off")).alias("rep")), "dictionary")
-    again = mixed.join(words.where("n > 1").select("kh", "ph"), ["kh", "ph"])
+    again = _without(mixed, words.where("n = 1").select("rep.doc_id", "rep.th", "rep.lo"))
     whole = hits.where("one").select("doc_id", "th", "lo", "hi").unionByName(again.select("doc_id", "th", "lo", "hi"))
 
     many = scratch.save(words.groupBy("kh").agg(F.count("*").alias("g")), "sizes")
