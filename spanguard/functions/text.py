@@ -24,10 +24,11 @@ def unicode_pattern(pattern: str) -> str:
     return "(?U)" + pattern
 
 
-def find_spans(text: Column, pattern: str, label: str, score: float) -> Column:
+def find_spans(text: Column, pattern: str, label: str, score: float, needs: str | None = None) -> Column:
     """All matches as spans with code-point offsets; the pattern must not match the empty string.
 
-    Offsets follow from the lengths of the pieces between the matches and of the matches.
+    Offsets follow from the lengths of the pieces between the matches and of the matches. Texts
+    without a match of ``needs``, a cheap pattern that every match holds, aren't searched.
     """
     p = unicode_pattern(pattern)
     gaps, found = F.split(text, p, -1), F.regexp_extract_all(text, F.lit(p), F.lit(0))
@@ -44,7 +45,28 @@ def find_spans(text: Column, pattern: str, label: str, score: float) -> Column:
     def sized(g: Column) -> Column:
         return F.transform(found, lambda m, i: F.struct(F.length(F.get(g, i)).alias("gap"), F.length(m).alias("size")))
 
-    return F.coalesce(grow(let(gaps, sized)), F.array().cast(SPAN_TYPE))
+    none = F.array().cast(SPAN_TYPE)
+    spans = F.coalesce(grow(let(gaps, sized)), none)
+    return spans if needs is None else F.when(text.rlike(needs), spans).otherwise(none)
+
+
+def email_spans(text: Column) -> Column:
+    return find_spans(text, V.EMAIL_PATTERN, "EMAIL", V.EMAIL_SCORE, "@")
+
+
+def phone_spans(text: Column) -> Column:
+    """Matches of 7 to 15 digits."""
+    return F.filter(find_spans(text, V.PHONE_PATTERN, "PHONE_NUMBER", V.PHONE_SCORE, r"\p{Nd}"), lambda s: is_phone(span_text(text, s)))
+
+
+def card_spans(text: Column) -> Column:
+    """Matches that pass Luhn's check."""
+    return F.filter(find_spans(text, V.CARD_PATTERN, "CARD_NUMBER", V.CARD_SCORE, r"\p{Nd}"), lambda s: is_card(span_text(text, s)))
+
+
+def span_hint(span: Column) -> Column:
+    """A short name of a span, for logs."""
+    return F.format_string("<%s @%d:%d>", span["label"], span["start"], span["end"])
 
 
 def digits(value: Column) -> Column:

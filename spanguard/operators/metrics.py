@@ -2,13 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import time
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions import guard
 
 
+class Throughput:
+    """Rows and rows a second of an action: ``with Throughput(df) as t: t.df.write...``, then ``t.report()``."""
+
+    def __init__(self, df: DataFrame, name: str = "rows"):
+        self.seen = Observation(name)
+        self.df = df.observe(self.seen, F.count(F.lit(1)).alias("n"))
+
+    def __enter__(self) -> "Throughput":
+        self.began = time.time()
+        return self
+
+    def __exit__(self, *failed) -> None:
+        self.seconds = time.time() - self.began
+
+    def report(self) -> dict:
+        n = self.seen.get["n"]
+        return {"rows": n, "elapsed_seconds": round(self.seconds, 2), "rows_per_second": round(n / self.seconds, 1) if self.seconds else 0.0}
+
+
 def ratio(a: Column, b: Column, digits: int = 6) -> Column:
     """a / b, 0 where b is 0."""
     return F.round(F.when(b > 0, a / b).otherwise(0.0), digits)

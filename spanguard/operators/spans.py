@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from ..functions import fixed_values as V
-from ..functions.text import SPAN_TYPE, find_spans, is_card, is_phone, span_text
+from ..functions.text import SPAN_TYPE, card_spans, email_spans, phone_spans
 
 
 def regex_spans(text: Column, existing: Column | None = None) -> Column:
@@ -17,10 +17,7 @@ def regex_spans(text: Column, existing: Column | None = None) -> Column:
 
     Only ``existing`` spans cover others, so found spans may overlap each other.
     """
-    mail = find_spans(text, V.EMAIL_PATTERN, "EMAIL", V.EMAIL_SCORE)
-    phone = F.filter(find_spans(text, V.PHONE_PATTERN, "PHONE_NUMBER", V.PHONE_SCORE), lambda s: is_phone(span_text(text, s)))
-    card = F.filter(find_spans(text, V.CARD_PATTERN, "CARD_NUMBER", V.CARD_SCORE), lambda s: is_card(span_text(text, s)))
-    found = F.concat(mail, phone, card)
+    found = F.concat(email_spans(text), phone_spans(text), card_spans(text))
     return found if existing is None else uncovered(found, existing)
 
 

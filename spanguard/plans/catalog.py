@@ -90,12 +90,10 @@ def sql_strategy(label: str = "label", action: str = "action") -> str:
 # ---- personal data
 
 
-def _found(spark, sf_dir, pattern, label, score, keep=None) -> DataFrame:
+def _found(spark, sf_dir, spans) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    spans = T.find_spans(F.col("text"), pattern, label, score)
-    rows = docs.select("doc_id", F.explode(F.transform(spans, lambda s: F.struct(s.alias("s"), T.span_text(F.col("text"), s).alias("value")))).alias("x"))
-    rows = rows.select("doc_id", "x.s.label", "x.s.start", "x.s.end", "x.s.score", "x.value")
-    return rows if keep is None else rows.where(keep(F.col("value")))
+    rows = docs.select("doc_id", F.explode(F.transform(spans(F.col("text")), lambda s: F.struct(s.alias("s"), T.span_text(F.col("text"), s).alias("value")))).alias("x"))
+    return rows.select("doc_id", "x.s.label", "x.s.start", "x.s.end", "x.s.score", "x.value")
 
 
 def _span_rows(sql: str) -> str:
@@ -104,17 +102,17 @@ def _span_rows(sql: str) -> str:
 
 @query(_span_rows(SQL_MAIL_SPANS))
 def pii_email_spans(spark, sf_dir):
-    return _found(spark, sf_dir, V.EMAIL_PATTERN, "EMAIL", V.EMAIL_SCORE)
+    return _found(spark, sf_dir, T.email_spans)
 
 
 @query(_span_rows(SQL_PHONE_SPANS))
 def pii_phone_spans(spark, sf_dir):
-    return _found(spark, sf_dir, V.PHONE_PATTERN, "PHONE_NUMBER", V.PHONE_SCORE, T.is_phone)
+    return _found(spark, sf_dir, T.phone_spans)
 
 
 @query(_span_rows(SQL_CARD_SPANS))
 def pii_card_spans(spark, sf_dir):
-    return _found(spark, sf_dir, V.CARD_PATTERN, "CARD_NUMBER", V.CARD_SCORE, T.is_card)
+    return _found(spark, sf_dir, T.card_spans)
 
 
 def _detected(spark, sf_dir) -> DataFrame:
@@ -135,9 +133,8 @@ SELECT doc_id, label, "start", "end", score FROM a WHERE kind > 1 AND NOT EXISTS
 def pii_uncovered_spans(spark, sf_dir):
     """Phones and cards that no e-mail span covers."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    mail = T.find_spans(F.col("text"), V.EMAIL_PATTERN, "EMAIL", V.EMAIL_SCORE)
-    rest = F.filter(S.regex_spans(F.col("text")), lambda s: s["label"] != "EMAIL")
-    return docs.withColumn("mail", mail).withColumn("rest", rest).select("doc_id", F.inline(S.uncovered(F.col("rest"), F.col("mail"))))
+    rest = F.concat(T.phone_spans(F.col("text")), T.card_spans(F.col("text")))
+    return docs.withColumn("mail", T.email_spans(F.col("text"))).withColumn("rest", rest).select("doc_id", F.inline(S.uncovered(F.col("rest"), F.col("mail"))))
 
 
 @query(f"""SELECT label, action, count(*) AS n, count(DISTINCT doc_id) AS docs, count(*) FILTER (action = 'mask') AS reviews FROM (SELECT *, {sql_action()} AS action FROM ({SQL_ALL_SPANS})) GROUP BY label, action""")

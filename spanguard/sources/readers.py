@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions.replies import parse_spans
 from ..operators.tables import keep_first, keep_last, not_blank, stratified_head  # noqa: F401
+from ..plans.pii import RECORD
 
 DOCUMENTS = "uid string, doc_id string, text string, document_type string, document_format string, domain string, locale string, spans string"
 PREDICTIONS = "doc_id string, entities array<struct<label:string,start:int,end:int,score:double>>"
@@ -27,6 +28,11 @@ def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Output records, held to their schema."""
+    return read_jsonl(spark, path, RECORD)
+
+
 def read_documents(spark: SparkSession, path: str, n: int | None = None, stratify_by: str | None = None, row_id: str = "uid") -> DataFrame:
     """Documents as Parquet; a stratified sample if both ``n`` and a field are given, else the first ``n``."""
     df = spark.read.parquet(path)
