@@ -35,9 +35,9 @@ SILENT_TAGS = frozenset("applet audio button canvas datalist head iframe map noe
 RAW_TAGS = frozenset("script style".split())
 BAD_TAGS = frozenset("nav footer aside menu dialog".split())
 BAD_WORDS = frozenset(
-    "ad ads adv advert advertisement advertising adverts alert banner breadcrumb breadcrumbs byline cart comment comments commentlist complementary consent contentinfo cookie cookies copyright disclaimer discussion dialog disqus feedback foot footer form gdpr header "
+    "ad ads adv advert advertisement advertising adverts alert banner breadcrumb breadcrumbs cart comment comments commentlist complementary consent contentinfo cookie cookies copyright disclaimer discuss discussion dialog disqus feedback foot footer form gdpr guestbook header "
     "legal links login masthead menu meta modal nav navbar navigation newsletter notice notices notification outbrain overlay pager pagination paywall popup privacy promo promoted promotion rail recommended register related replies reply respond search share sharing shop sidebar signin signup "
-    "skip skyscraper social sponsor sponsored subscribe subscription taboola tags teaser toolbar topbar tracking warning widget widgets".split()
+    "skip skyscraper social sponsor sponsored subscribe subscription taboola tags talkback teaser thread toolbar topbar tracking warning widget widgets".split()
 )
 GOOD_WORDS = frozenset("article articlebody content entry main post prose story text".split())
 NEGATED = frozenset("has no with without".split())
