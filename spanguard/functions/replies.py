@@ -18,7 +18,7 @@ FIELDS = ("verdict", "cwe_id", "mechanism", "fixed_code", "justification")
 TRIAGE = StructType([StructField("verdict", StringType()), StructField("parse_error", BooleanType())])
 ANALYSIS = StructType([*(StructField(f, StringType()) for f in FIELDS), StructField("parse_error", BooleanType())])
 SPANS = ArrayType(StructType([StructField("label", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType())]))
-_FENCE, _BRACES = re.compile(r"```(?:json)?\s*\n?(.*?)\n?```", re.S), re.compile(r"\{.*\}", re.S)
+_FENCE, _BRACES = re.compile(V.FENCE_PATTERN, re.S), re.compile(V.BRACES_PATTERN, re.S)
 
 
 def reply_object(text: str | None) -> dict | None:
