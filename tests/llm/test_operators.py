@@ -180,6 +180,14 @@ def test_main_text():
     assert mainhtml.main_text("<article>" + "<p>A long paragraph of words.</p>" * 3000) == "\n".join(["A long paragraph of words."] * 3000)
 
 
+def test_classifier_is_fitted():
+    weights = mainhtml.fit([PAGE] * 3 + [None, "", "<p>says nothing</p>"])
+    assert mainhtml.main_text(PAGE, weights) == mainhtml.main_text(PAGE)
+    plain = "<div><a href=1>Home</a></div><p>A plain page with a single sentence of text that is quite long. And another one here.</p>"
+    assert mainhtml.main_text(plain, weights) == "A plain page with a single sentence of text that is quite long. And another one here."
+    assert mainhtml.fit([]) == mainhtml.fit(["<p>says nothing</p>"]) == mainhtml.PLAIN
+
+
 def test_cut_is_minimal():
     r = random.Random(7)
     for _ in range(200):
@@ -197,6 +205,7 @@ def test_pages(spark):
     pages = spark.createDataFrame([(1, "u", PAGE), (2, None, None), (1, "u", PAGE)], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     out = mainhtml.extract_pages(pages).collect()
     assert len(out) == 3 and all(r.n_chars == len(r.text) for r in out)
+    assert mainhtml.extract_pages(pages.limit(0)).count() == 0
     real = spark.read.parquet(f"{SF}/pages.parquet")
     want = {}
     for p in real.collect():
