@@ -180,8 +180,10 @@ def test_main_text():
     assert mainhtml.main_text("<article>" + "<p>A long paragraph of words.</p>" * 3000) == "\n".join(["A long paragraph of words."] * 3000)
 
 
-def test_classifier_is_fitted():
-    weights = mainhtml.fit([PAGE] * 3 + [None, "", "<p>says nothing</p>"])
+def test_classifier_is_fitted(spark):
+    pages = mainhtml.training_pages(spark.read.parquet(f"{SF}/pages.parquet"))
+    assert len(pages) == 50
+    weights = mainhtml.fit([*pages, None, "", "<p>says nothing</p>"])
     assert mainhtml.main_text(PAGE, weights) == mainhtml.main_text(PAGE)
     plain = "<div><a href=1>Home</a></div><p>A plain page with a single sentence of text that is quite long. And another one here.</p>"
     assert mainhtml.main_text(plain, weights) == "A plain page with a single sentence of text that is quite long. And another one here."
