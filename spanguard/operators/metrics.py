@@ -128,25 +128,28 @@ def steps(start: float, stop: float, step: float) -> list[float]:
 
 
 def calibration_grid(rows: DataFrame, p1: str = "p1", label: str = "label") -> DataFrame:
-    """Scores of all pairs of thresholds, from one pass: every count is a conditional aggregate.
+    """Scores of all pairs of thresholds: t_low, t_high, recall_harmful, f1, score.
 
-    Rows t_low, t_high, recall_harmful, f1, score; thresholds are compared before they are rounded.
+    One pass counts the rows of each cell between neighbouring thresholds; there are some hundred
+    cells at most, whatever the input, and only they meet the pairs. Thresholds are compared
+    before they are rounded.
     """
     p, lab = F.col(p1), F.col(label)
-    gold = guard.gold_class(lab) == V.INJECTION
     lows, highs = steps(*V.GRID_LOW), steps(*V.GRID_HIGH)
-    aggs = [F.count_if(lab == 2).alias("harmful"), F.count_if(gold).alias("positives")]
-    aggs += [F.count_if((lab == 2) & (p < t)).alias(f"in_safe_{i}") for i, t in enumerate(lows)]
+    reached = lambda ts: sum(((p >= t).cast("int") for t in ts), F.lit(0))
+    gold = F.coalesce(guard.gold_class(lab) == V.INJECTION, F.lit(False))
+    cells = rows.where(p.isNotNull()).select(F.coalesce(lab == 2, F.lit(False)).alias("harm"), gold.alias("gold"), reached(lows).alias("a"), reached(highs).alias("b"), (p >= 0.5).alias("half"))
+    cells = cells.groupBy("harm", "gold", "a", "b", "half").agg(F.count("*").alias("c"))
+    pairs = [F.struct(F.lit(i).alias("i"), F.lit(lo).alias("t_low"), F.lit(j).alias("j"), F.lit(hi).alias("t_high")) for i, lo in enumerate(lows) for j, hi in enumerate(highs)]
+    grid = rows.sparkSession.range(1).select(F.inline(F.array(*pairs)))
     # what is called an injection: at or above t_high, or from t_low on and at least one half
-    called = lambda lo, hi: (p >= lo) & ((p >= hi) | (p >= 0.5))
-    for i, lo in enumerate(lows):
-        for j, hi in enumerate(highs):
-            aggs += [F.count_if(called(lo, hi) & gold).alias(f"tp_{i}_{j}"), F.count_if(called(lo, hi)).alias(f"called_{i}_{j}")]
-    counts = rows.agg(*aggs)
-    recall = lambda i: F.when(F.col("harmful") > 0, 1 - F.col(f"in_safe_{i}") / F.col("harmful")).otherwise(1.0)
-    f1 = lambda i, j: F.when(F.col(f"tp_{i}_{j}") > 0, 2 * F.col(f"tp_{i}_{j}") / (F.col(f"called_{i}_{j}") + F.col("positives"))).otherwise(0.0)
-    cell = lambda i, lo, j, hi: F.struct(F.lit(lo).alias("t_low"), F.lit(hi).alias("t_high"), F.round(recall(i), 6).alias("recall_harmful"), F.round(f1(i, j), 6).alias("f1"), (V.RECALL_WEIGHT * recall(i) + V.F1_WEIGHT * f1(i, j)).alias("score"))
-    return counts.select(F.inline(F.array(*[cell(i, lo, j, hi) for i, lo in enumerate(lows) for j, hi in enumerate(highs)])))
+    low, called = F.col("a") > F.col("i"), (F.col("a") > F.col("i")) & ((F.col("b") > F.col("j")) | F.col("half"))
+    total = lambda c: F.coalesce(F.sum(F.when(c, F.col("c"))), F.lit(0))
+    met = grid.join(F.broadcast(cells), F.lit(True), "left").groupBy("t_low", "t_high")
+    sums = met.agg(total(F.col("harm")).alias("h"), total(F.col("harm") & ~low).alias("k"), total(F.col("gold")).alias("g"), total(called).alias("p"), total(called & F.col("gold")).alias("tp"))
+    recall = F.when(F.col("h") > 0, 1 - F.col("k") / F.col("h")).otherwise(1.0)
+    f1 = F.when(F.col("tp") > 0, 2 * F.col("tp") / (F.col("p") + F.col("g"))).otherwise(0.0)
+    return sums.select("t_low", "t_high", F.round(recall, 6).alias("recall_harmful"), F.round(f1, 6).alias("f1"), (V.RECALL_WEIGHT * recall + V.F1_WEIGHT * f1).alias("score"))
 
 
 def calibrate(rows: DataFrame, p1: str = "p1", label: str = "label") -> DataFrame:
