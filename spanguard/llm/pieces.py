@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from .common import map_batches
 
 MARK = "▁"
-#: Entries of a worker's memo of cuts, and of its memo of neighbouring tokens.
-MEMO = 1_000_000
+#: Entries of a worker's memo of cuts, and of its memo of neighbouring tokens (some 200 and 100 bytes each).
+MEMO = 600_000
 _CUTS = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
