@@ -13,6 +13,7 @@ from ..operators import metrics as M
 from ..operators import spans as S
 from ..operators import tables as B
 from ..operators import validation as C
+from ..session import ship
 from . import guard, pii, review
 
 QUERIES: dict = {}
@@ -30,6 +31,7 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

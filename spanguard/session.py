@@ -2,8 +2,28 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once for an application, so that their Python workers can load it."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).parent
+    out = Path(tempfile.mkdtemp()) / f"{root.name}-{app}.zip"
+    with zipfile.ZipFile(out, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(out))
+    _shipped.add(app)
+
 
 def build_session(master: str | None = None, name: str = "spanguard", **conf) -> SparkSession:
     """UTC, adaptive execution with skew handling, and Arrow; further settings by keyword with ``__`` for dots."""
@@ -18,4 +38,6 @@ def build_session(master: str | None = None, name: str = "spanguard", **conf) ->
     } | {k.replace("__", "."): str(v) for k, v in conf.items()}
     for k, v in settings.items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    ship(spark)
+    return spark
