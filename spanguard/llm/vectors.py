@@ -4,9 +4,12 @@ Equal vectors of a label are one vertex with a multiplicity. Neighbour lists beg
 of small blocks (leaves of random-projection trees, a label at a time) and are refined by
 joining neighbours of neighbours: around each vertex, all that list it or are listed by it are
 compared with each other, and every one keeps its best. A list full of links is saturated and
-doubles, up to ``LONGEST`` (whatever has more links than that is dense enough to be connected,
-which the audit checks, and all its links are counted later). Rounds end when no link is new. An audit compares a bounded sample
-with all vectors exactly; below ``AUDIT`` recall, more trees and rounds follow.
+doubles, up to ``LONGEST``. Rounds end when no link is new. A link that no list has room for has
+two saturated ends, so these are compared with each other exactly (``bridge``): each joins the cell
+of a vertex that it links with, and of cells in unlike components those are compared whose
+centres are near enough for their members to reach the threshold. An audit compares a bounded sample
+with all vectors exactly; below ``AUDIT`` recall, more trees and rounds follow, and if four of
+them don't reach it, all vertices are bridged, which misses nothing.
 
 Links at the threshold give components. Two linked vectors always share one, so each component
 is then compared exhaustively in pairs of blocks to count every vector's links exactly, without
@@ -31,7 +34,7 @@ from .components import components
 TREES, LEAF, LIST, ROUNDS, BLOCK, AUDIT = 6, 128, 12, 4, 512, 0.99
 #: Vectors that are compared with all others to measure recall, at most.
 AUDIT_ROWS = 256
-#: Length that a saturated list may reach.
+#: Length that a saturated list may reach; links beyond it are found by ``bridge``.
 LONGEST = 48
 _CODE = 40
 
@@ -123,6 +126,115 @@ def _links(lists: DataFrame, threshold: float) -> DataFrame:
     return lists.select("x", F.explode("l").alias("e")).where(F.col("e.s") >= threshold).select(F.least("x", "e.y").alias("u"), F.greatest("x", "e.y").alias("v")).distinct()
 
 
+def _cell_pairs(cells: DataFrame, threshold: float) -> DataFrame:
+    """Rows p, q, u, v, s: cells and roots whose members may link, in each group g of rows g, b, c, own, cell, root, least, v."""
+
+    def run(batches):
+        held, current = [], None
+
+        def finish():
+            b, c = held[0][1], held[0][2]
+            rows = [h for h in held if h[3] == b]
+            cols = rows if b == c else [h for h in held if h[3] == c]
+            if not rows or not cols:
+                return None
+            s = np.stack([h[7] for h in rows]) @ np.stack([h[7] for h in cols]).T
+            wide = [np.arccos(np.clip([h[6] for h in side], -1, 1)) for side in (rows, cols)]
+            # the slack is far above the rounding of arccos
+            may = np.arccos(np.clip(s, -1, 1)) <= wide[0][:, None] + wide[1][None] + np.arccos(threshold) + 1e-6
+            may &= np.array([h[5] for h in rows])[:, None] != np.array([h[5] for h in cols])[None]
+            i, j = np.nonzero(np.triu(may) if b == c else may)
+            names = [np.array([h[k] for h in side], np.int64)[at] for k in (4, 5) for side, at in ((rows, i), (cols, j))]
+            return pa.RecordBatch.from_arrays([*map(pa.array, names), pa.array(s[i, j])], names=["p", "q", "u", "v", "s"])
+
+        for batch in batches:
+            values = batch.column("v")
+            for i, row in enumerate(zip(*(batch.column(k).to_pylist() for k in ("g", "b", "c", "own", "cell", "root", "least")))):
+                if held and row[0] != current:
+                    done = finish()
+                    if done is not None:
+                        yield done
+                    held = []
+                current = row[0]
+                held.append((*row, values[i].values.to_numpy(zero_copy_only=False).copy()))
+        if held:
+            done = finish()
+            if done is not None:
+                yield done
+
+    return cells.repartition("g").sortWithinPartitions("g").select("g", "b", "c", "own", "cell", "root", "least", "v").mapInArrow(run, "p long, q long, u long, v long, s double")
+
+
+def _linked_cells(sides: DataFrame, threshold: float) -> DataFrame:
+    """Rows g of the groups of rows g, first, v in which a vector of the first cell links with one of the second."""
+
+    def run(batches):
+        held, current = ([], []), None
+
+        def finish():
+            near = held[0] and held[1] and (np.stack(held[0]) @ np.stack(held[1]).T >= threshold).any()
+            return pa.RecordBatch.from_arrays([pa.array([current] if near else [], pa.int64())], names=["g"])
+
+        for batch in batches:
+            values = batch.column("v")
+            for i, (g, first) in enumerate(zip(*(batch.column(k).to_pylist() for k in ("g", "first")))):
+                if g != current:
+                    if current is not None:
+                        yield finish()
+                    held = ([], [])
+                current = g
+                held[not first].append(values[i].values.to_numpy(zero_copy_only=False).copy())
+        if current is not None:
+            yield finish()
+
+    return sides.repartition("g").sortWithinPartitions("g").select("g", "first", "v").mapInArrow(run, "g long")
+
+
+def bridge(lists: DataFrame, vectors: DataFrame, roots: DataFrame, scratch: Scratch, threshold: float, whole: bool = False) -> DataFrame:
+    """``roots`` joined by all links between saturated vertices, or between any if ``whole``."""
+    if whole:
+        lists = vectors.select("x").join(lists, "x", "left")
+        roots = scratch.save(vectors.select(F.col("x").alias("node")).join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots")
+    else:
+        lists = lists.where((F.size("l") >= F.col("k")) & (F.element_at("l", -1)["s"] >= threshold))
+    # the linked vertex of least hash leads, so a cell stays in one component and no member is farther than the threshold
+    own = F.struct(F.xxhash64("x").alias("h"), F.col("x").alias("y"), F.lit(1.0).alias("s"))
+    linked = F.transform(F.filter(F.coalesce("l", F.array().cast("array<struct<s: double, y: bigint>>")), lambda e: e["s"] >= threshold), lambda e: F.struct(F.xxhash64(e["y"]).alias("h"), e["y"].alias("y"), e["s"].alias("s")))
+    led = lists.select("x", F.array_min(F.concat(F.array(own), linked)).alias("lead")).select("x", F.col("lead.y").alias("lead"), F.col("lead.s").alias("s"))
+    led = scratch.save(led.join(roots, led.x == roots.node).select("x", "lead", "s", "root"), "led")
+    parts = led.groupBy("lead").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    members = scratch.save(led.join(parts, "lead").withColumn("cell", F.xxhash64("lead", F.pmod(F.xxhash64("x", F.lit(5)), "parts"))), "members")
+    cells = members.groupBy("cell", "lead", "root").agg(F.min("s").alias("least")).join(vectors.select(F.col("x").alias("lead"), "part", "v"), "lead")
+    cells = scratch.save(cells.select("cell", "root", "least", "part", "v"), "cells")
+    blocks = cells.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("root").alias("a"), F.max("root").alias("z")).where("a <> z").select("part", "blocks")
+    spread = cells.join(blocks, "part").withColumn("own", F.pmod(F.xxhash64("cell", F.lit(6)), "blocks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    spread = spread.select("part", F.least("own", "other").alias("b"), F.greatest("own", "other").alias("c"), "own", "cell", "root", "least", "v").withColumn("g", F.xxhash64("part", "b", "c"))
+    pairs = scratch.save(_cell_pairs(spread, threshold), "pairs")
+
+    # linked centres join most components, the nearest cells of two components most of the others
+    for step in ("centres", "nearest", "rest"):
+        if pairs.isEmpty():
+            break
+        if step == "centres":
+            found = pairs.where(F.col("s") >= threshold)
+        else:
+            some = pairs
+            if step == "nearest":
+                some = pairs.groupBy(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("z")).agg(F.max_by(F.struct("p", "q", "u", "v"), "s").alias("e")).select("e.*")
+            some = scratch.save(some.select(F.xxhash64("p", "q").alias("g"), "p", "q", "u", "v"), "some")
+            sides = some.select("g", F.lit(True).alias("first"), F.col("p").alias("cell")).unionByName(some.select("g", F.lit(False).alias("first"), F.col("q").alias("cell")))
+            sides = sides.join(members.select("cell", "x"), "cell").join(vectors.select("x", "v"), "x")
+            found = _linked_cells(sides, threshold).join(some, "g")
+        found = scratch.save(found.select("u", "v").distinct(), "bridges")
+        if found.isEmpty():
+            continue
+        names = scratch.save(components(found, scratch).select("node", F.col("root").alias("to")), "names")
+        moved = lambda df, c: df.join(names.withColumnRenamed("node", c), c, "left").withColumn(c, F.coalesce("to", c)).drop("to")
+        roots = scratch.save(moved(roots, "root"), "roots")
+        pairs = scratch.save(moved(moved(pairs, "u"), "v").where("u <> v"), "pairs")
+    return roots
+
+
 def _count_links(members: DataFrame, threshold: float) -> DataFrame:
     """Rows x, n: weighted links found in each group g of rows g, b, c, own, x, m, v (blocks b and c)."""
 
@@ -224,7 +336,11 @@ def near_vectors(rows: DataFrame, threshold: float = 0.98, id_col: str = "vec_id
             known = now
             lists = _round(lists, vectors, scratch, threshold)
         roots = scratch.save(components(_links(lists, threshold), scratch), "roots")
-        if seed >= 4 or audit(vectors, roots, threshold) >= AUDIT:
+        roots = bridge(lists, vectors, roots, scratch, threshold)
+        if audit(vectors, roots, threshold) >= AUDIT:
+            break
+        if seed >= 4:
+            roots = bridge(lists, vectors, roots, scratch, threshold, whole=True)
             break
         seed, known = seed + 1, -1
 

@@ -405,6 +405,37 @@ def test_vectors(spark, monkeypatch):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_bridged_groups(spark):
+    """Two dense groups whose links with each other are in no list."""
+    r = np.random.default_rng(17)
+    a, b = np.linalg.qr(r.normal(size=(64, 2)))[0].T
+    v = np.concatenate([c + r.normal(size=(200, 64)) * 0.003 for c in (a, 0.982 * a + np.sqrt(1 - 0.982**2) * b)])
+    v = v.astype(np.float32).astype(float)
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.98
+    assert near[:200, :200].all() and near[200:, 200:].all() and 20000 < near[:200, 200:].sum() < 40000
+    df = spark.createDataFrame([(i, [float(e) for e in x], 1) for i, x in enumerate(v)], "vec_id long, embedding array<float>, label int")
+    got = {x.vec_id: x for x in vectors.near_vectors(df).collect()}
+    assert {x.component_id for x in got.values()} == {0} and [i for i in got if got[i].kept] == [0]
+    assert [got[i].n_links for i in range(400)] == (near.sum(1) - 1).tolist()
+
+
+def test_bridge_of_all_vectors(spark, monkeypatch):
+    """What is left if the audit stays low: no link is missed even without lists, and cells are split."""
+    monkeypatch.setattr(vectors, "BLOCK", 16)
+    r = np.random.default_rng(19)
+    v = np.concatenate([c + r.normal(size=(30, 8)) * 0.25 for c in r.normal(size=(4, 8))])
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    near = lambda i, j: v[i] @ v[j] >= 0.98
+    rows = spark.createDataFrame([(i, 1, [float(e) for e in x]) for i, x in enumerate(v)], "x long, part long, v array<double>")
+    scratch = vectors.Scratch(spark, "bridge")
+    none, roots = spark.createDataFrame([], "x long, k int, l array<struct<s: double, y: bigint>>"), spark.createDataFrame([], "node long, root long")
+    want = components_by_force(len(v), near)
+    assert 4 < len(set(want)) < 120
+    got = {x.node: x.root for x in vectors.bridge(none, rows, roots, scratch, 0.98, whole=True).collect()}
+    assert [got[i] for i in range(len(v))] == want
+
+
 # ---- language
 
 
