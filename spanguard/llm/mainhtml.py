@@ -53,7 +53,8 @@ TRAIN_PAGES = 400
 S_NEXT, S_PARENT = 0.5, 0.4
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
-_ATTR = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)
+#: A whole attribute: its name, and its value if it has one. Matches follow each other, so none begins inside a name or a value.
+_ATTR = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _END = {t: re.compile(f"</{t}(?=[\\s/>])[^>]*>?|\\Z", re.I) for t in RAW_TAGS | {"textarea", "title"}}
 

@@ -180,6 +180,17 @@ def test_main_text():
     assert mainhtml.main_text("<article>" + "<p>A long paragraph of words.</p>" * 3000) == "\n".join(["A long paragraph of words."] * 3000)
 
 
+def test_attributes_by_their_whole_names():
+    shown = ['href="/hidden-gems"', "href=/hidden", 'title="A hidden lake"', "title='style = \"display:none\"'", 'data-hidden="false"', "data-hidden", 'x-class="sidebar"', 'data-id=footer title=" id=nav "', 'hidden-x', 'alt = "role=navigation"', 'a="b"title="hidden"']
+    for attrs in shown:
+        for tag in ("p", "div"):
+            page = f"<article><p>One sentence of text.</p><{tag} {attrs}>Another sentence of text.</{tag}></article>"
+            assert mainhtml.main_text(page) == "One sentence of text.\nAnother sentence of text.", attrs
+        assert mainhtml.main_text(f"<article><p>A <a {attrs}>link</a> in a sentence.</p></article>") == "A link in a sentence.", attrs
+    for attrs in ("hidden", "HIDDEN", 'hidden=""', "hidden = hidden", 'title="a"hidden', 'href=/x hidden', "hidden/", 'aria-hidden="true"', "STYLE='display: none'"):
+        assert mainhtml.main_text(f"<article><p>One sentence of text.</p><div><p {attrs} >Another sentence.</p></div></article>") == "One sentence of text.", attrs
+
+
 def test_classifier_is_fitted(spark):
     pages = mainhtml.training_pages(spark.read.parquet(f"{SF}/pages.parquet"))
     assert len(pages) == 50
