@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -126,11 +125,15 @@ def _ratio(a: str, b: str) -> float:
     a, b = " ".join(sorted(a.split())), " ".join(sorted(b.split()))
     if not a or not b:
         return float(not a and not b)
-    row, other = np.zeros(len(b) + 1, int), np.array(list(b))
+    # a row of the table as bits: those that are 0 are where the length grows
+    at: dict[str, int] = {}
+    for i, ch in enumerate(b):
+        at[ch] = at.get(ch, 0) | 1 << i
+    row = full = (1 << len(b)) - 1
     for ch in a:
-        here = np.maximum(row[1:], row[:-1] + (other == ch))
-        row = np.append(0, np.maximum.accumulate(here))
-    return 2 * int(row[-1]) / (len(a) + len(b))
+        u = row & at.get(ch, 0)
+        row = (row + u | row - u) & full
+    return 2 * (len(b) - row.bit_count()) / (len(a) + len(b))
 
 
 def fuzzy_clusters(threshold: float = 0.8):

@@ -658,8 +658,8 @@ def parse_span_literals(spark, sf_dir):
 
 @query()
 def fuzzy_name_clusters(spark, sf_dir):
-    """Names of each nation's first customers, spelt in two ways, and what they are clustered under."""
-    rows = table(spark, sf_dir, "customer").where("c_custkey % 50 = 1").withColumn("name", F.explode(F.array(F.col("c_name"), F.concat(F.col("c_mktsegment"), F.lit(" "), F.col("c_name")), F.concat(F.col("c_name"), F.lit(" "), F.col("c_mktsegment")))))
+    """Names of each nation's customers, spelt in three ways, and what they are clustered under."""
+    rows = table(spark, sf_dir, "customer").withColumn("name", F.explode(F.array(F.col("c_name"), F.concat(F.col("c_mktsegment"), F.lit(" "), F.col("c_name")), F.concat(F.col("c_name"), F.lit(" "), F.col("c_mktsegment")))))
     names = rows.groupBy("c_nationkey").agg(F.sort_array(F.collect_set("name")).alias("names"))
     found = S.fuzzy_clusters(0.8)(F.col("names"), F.transform("names", T.normalize_ascii))
     return names.select("c_nationkey", F.explode(F.arrays_zip("names", found.alias("cluster"))).alias("x")).select("c_nationkey", F.col("x.names").alias("name"), F.col("x.cluster").alias("cluster"))

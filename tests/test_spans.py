@@ -184,3 +184,30 @@ def test_fuzzy_clusters(spark):
     names = ["Ivan Petrov", "Petrov Ivan", "Ivan Petrof", "Anna Lee", ""]
     got = one(spark, S.fuzzy_clusters()(F.col("n"), F.transform("n", T.normalize_ascii)), n=("array<string>", names))
     assert got == ["Ivan Petrov", "Ivan Petrov", "Ivan Petrov", "Anna Lee", ""]
+
+
+def test_fuzzy_name_clusters_takes_all_customers(spark, tmp_path):
+    from spanguard.plans.catalog import QUERIES
+
+    def ratio(a, b):
+        a, b = (" ".join(sorted(x.lower().split())) for x in (a, b))
+        row = [0] * (len(b) + 1)
+        for ch in a:
+            before, row = row, [0]
+            for j, other in enumerate(b):
+                row.append(before[j] + 1 if ch == other else max(before[j + 1], row[j]))
+        return 2 * row[-1] / (len(a) + len(b))
+
+    first, last = ["Anna", "Ana", "Boris", "Carla", "Karla", "Dmitri"], ["Petrov", "Petrova", "Lee", "Smithson", "Smitson"]
+    rows = [(i, f"{first[i % 6]} {last[i % 5]}", i % 2, ["FURNITURE", "MACHINERY", "BUILDING"][i % 3]) for i in range(60)]
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    want = set()
+    for nation in (0, 1):
+        reps = []
+        for name in sorted({x for _, n, k, m in rows if k == nation for x in (n, f"{m} {n}", f"{n} {m}")}):
+            found = next((r for r in reps if ratio(name, r) >= 0.8), None)
+            if found is None:
+                reps.append(found := name)
+            want.add((nation, name, found))
+    got = [tuple(r) for r in QUERIES["fuzzy_name_clusters"](spark, str(tmp_path)).collect()]
+    assert len(got) == len(want) and set(got) == want
