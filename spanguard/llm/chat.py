@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BATCH_ROWS
+from .common import BATCH_ROWS, run_batches
 
 START, END = "<|im_start|>", "<|im_end|>"
 _RAISE, _LOWER = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
@@ -124,7 +124,6 @@ def format_conversations(rows: DataFrame, tokenizer: bytes, digests: bool = Fals
     """
     rows = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     schema = DIGESTS if digests else SCHEMA
 
     def batch_of(out: list[tuple]) -> pa.RecordBatch:
@@ -162,4 +161,4 @@ def format_conversations(rows: DataFrame, tokenizer: bytes, digests: bool = Fals
         if out:
             yield batch_of(out)
 
-    return rows.mapInArrow(run, schema)
+    return run_batches(rows, run, schema)

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from spanguard.session import ship
 
-#: Rows in an Arrow batch: documents of some hundred kilobytes then still fit in a worker.
-BATCH_ROWS = 256
+#: Rows and bytes of an Arrow batch; a longer text is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 256, 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,6 +33,10 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+#: Rows that a file of a scratch table holds at least, where the table's size is known before.
+FILE_ROWS, FILES = 200_000, 4
+
+
 class Scratch:
     """Parquet tables under the shared folder that cut lineage between the steps of an operator.
 
@@ -47,15 +53,23 @@ class Scratch:
         at = jvm.org.apache.hadoop.fs.Path(path)
         return at, at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and return what reads it back."""
+    def save(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """Write ``df`` and return what reads it back; ``rows_of`` knows its rows then.
+
+        With a bound of its ``rows`` it is written in as few files as they fill: a small table in
+        hundreds of files costs more to open than to read.
+        """
         self.made += 1
         path = f"{self.root}/{self.made}-{name}"
+        seen = Observation()
+        df = df.observe(seen, F.count(F.lit(1)).alias("n"))
+        if rows is not None:
+            df = df.coalesce(max(FILES, -(-rows // FILE_ROWS)))
         df.write.parquet(path)
         at, fs = self._path(self.root)
         fs.deleteOnExit(at)
         out = self.spark.read.schema(df.schema).parquet(path)
-        out._spanguard_path = path
+        out._spanguard_path, out._spanguard_rows = path, seen.get["n"]
         return out
 
     def bucketed(self, df: DataFrame, key: str) -> DataFrame:
@@ -76,15 +90,67 @@ class Scratch:
             fs.delete(at, True)
 
 
+def rows_of(saved: DataFrame) -> int:
+    """Rows of a table that ``Scratch.save`` has written."""
+    return saved._spanguard_rows
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` where ``make()`` runs once for each task, to build tables that its batches share."""
+_kept: dict[str, object] = {}
+
+
+def keep(owner: str, make: Callable[[], object]):
+    """What a Python worker keeps from task to task of one ``owner``."""
+    if owner not in _kept:
+        _kept.clear()
+        _kept[owner] = make()
+    return _kept[owner]
+
+
+def _begin(owner: str | None) -> None:
+    """A task of another operator begins in this worker: what the one before kept goes."""
+    if owner not in _kept:
+        _kept.clear()
+
+
+def _end() -> None:
+    """Give freed memory back to the system, as the worker stays for later tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
+def _bound_batches(spark: SparkSession) -> None:
+    """Bounds of Arrow batches, where the session has none of its own."""
+    for name, value in (("Records", BATCH_ROWS), ("Bytes", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.max{name}PerBatch"
+        if spark.conf.get(key, "1") == "1":
+            spark.conf.set(key, str(value))
+
+
+def run_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, owner: str | None = None) -> DataFrame:
+    """``mapInArrow`` with bounded batches, whose workers give memory back at the end of each task."""
     ship(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    _bound_batches(df.sparkSession)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _begin(owner)
+        try:
+            yield from run(batches)
+        finally:
+            _end()
+
+    return df.mapInArrow(task, schema)
+
+
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema, owner: str | None = None) -> DataFrame:
+    """``run_batches`` where ``make()`` runs once for each task, to build tables that its batches share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
@@ -92,4 +158,4 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
             if batch.num_rows:
                 yield step(batch)
 
-    return df.mapInArrow(run, schema)
+    return run_batches(df, run, schema, owner)

@@ -22,7 +22,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import map_batches
+from .common import keep, map_batches
 
 MARK = "▁"
 #: Entries of a worker's memo of cuts, and of its memo of neighbouring tokens (some 200 and 100 bytes each).
@@ -180,15 +180,13 @@ class _Cuts(dict):
         return ids
 
 
-_held: dict[bytes, PieceModel] = {}
+def held_model(model: bytes) -> PieceModel:
+    """The model with its memos, kept from task to task until the Python worker does something else."""
+    return keep(owner_of(model), lambda: PieceModel(model))
 
 
-def held_model(model: bytes) -> PieceModel:
-    """The model with its memos, kept from task to task while the Python worker lives."""
-    if model not in _held:
-        _held.clear()
-        _held[model] = PieceModel(model)
-    return _held[model]
+def owner_of(model: bytes) -> str:
+    return f"pieces {hashlib.sha256(model).hexdigest()}"
 
 
 def encode_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
@@ -224,5 +222,5 @@ def encode_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text
         return step
 
     if digests:
-        return map_batches(rows, digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
-    return map_batches(rows, plain, "doc_id long, ids array<int>, decoded string")
+        return map_batches(rows, digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", owner_of(model))
+    return map_batches(rows, plain, "doc_id long, ids array<int>, decoded string", owner_of(model))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import Scratch, map_batches
+from .common import Scratch, map_batches, rows_of, run_batches
 
 LENGTH, TRIGGER = 400, 100
 #: Window starts in a piece of a long text, and bytes that are hashed together.
@@ -203,7 +203,7 @@ def _ranked(phr: DataFrame, length: int) -> DataFrame:
             yield finish()
 
     cols = ["doc_id", "th", "lo", "hi", "off", "kh", "n", "raw"]
-    return phr.repartition("kh").sortWithinPartitions("kh").select(*cols).mapInArrow(run, "doc_id long, th long, lo int, hi int")
+    return run_batches(phr.repartition("kh").sortWithinPartitions("kh").select(*cols), run, "doc_id long, th long, lo int, hi int")
 
 
 def _blocks(phr: DataFrame, length: int) -> DataFrame:
@@ -245,10 +245,10 @@ def _wide(phr: DataFrame, scratch: Scratch, length: int) -> DataFrame:
     repeated window. A phrase at the edge of a passage keeps one block for the last step.
     """
     each = scratch.save(_blocks(phr, length), "blocks")
-    words = scratch.save(each.groupBy("kh", "core", "bh").agg(F.count("*").alias("m"), F.min(F.struct("doc_id", "th", "lo", "n", "w")).alias("rep")), "block-words")
+    words = scratch.save(each.groupBy("kh", "core", "bh").agg(F.count("*").alias("m"), F.min(F.struct("doc_id", "th", "lo", "n", "w")).alias("rep")), "block-words", rows_of(each))
     whole = _without(each.where("n = 1"), words.where("m = 1").select("rep.doc_id", "rep.th", "rep.lo")).select("doc_id", "th", "lo", "hi")
     cores = words.groupBy("kh", "core").agg(F.count("*").alias("c")).where("c > 1").select("kh", "core")
-    left = words.join(scratch.save(cores, "cores"), ["kh", "core"])
+    left = words.join(scratch.save(cores, "cores", rows_of(words)), ["kh", "core"])
     at = (F.col("rep.lo") + F.col("k")).cast("int")
     single = left.select(F.col("rep"), "kh", ((F.col("m") == 1) & (F.col("rep.n") == 1)).alias("open"), F.posexplode("rep.w").alias("k", "f"))
     single = scratch.save(single.select("rep.doc_id", "rep.th", at.alias("lo"), "kh", "f", "open"), "windows")
@@ -271,16 +271,16 @@ def repeated_spans(rows: DataFrame, scratch: Scratch, length: int = LENGTH, grou
     """For each (doc_id, th) the list of runs lo..hi of repeated windows; th is the text's hash."""
     seen = scratch.save(phrase_rows(rows, length), "parse")
     strings = seen.groupBy("kh").agg(F.count("*").alias("m"), (F.min("ph") == F.max("ph")).alias("one")).where("m > 1").drop("m")
-    strings = scratch.save(strings, "strings")
-    hits = scratch.save(seen.join(strings, "kh"), "hits")
+    strings = scratch.save(strings, "strings", rows_of(seen))
+    hits = scratch.save(seen.join(strings, "kh"), "hits", rows_of(seen))
     scratch.drop(seen, strings)
 
     mixed = hits.where("not one")
-    words = scratch.save(mixed.groupBy("kh", "ph").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "lo", "hi", "off")).alias("rep")), "dictionary")
+    words = scratch.save(mixed.groupBy("kh", "ph").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "lo", "hi", "off")).alias("rep")), "dictionary", rows_of(hits))
     again = _without(mixed, words.where("n = 1").select("rep.doc_id", "rep.th", "rep.lo"))
     whole = hits.where("one").select("doc_id", "th", "lo", "hi").unionByName(again.select("doc_id", "th", "lo", "hi"))
 
-    many = scratch.save(words.groupBy("kh").agg(F.count("*").alias("g")), "sizes")
+    many = scratch.save(words.groupBy("kh").agg(F.count("*").alias("g")), "sizes", rows_of(words))
     reps = words.join(many, "kh").select("rep.*", "kh", "n", (F.col("g") > group).alias("large"))
     wanted = reps.groupBy("doc_id", "th").agg(F.collect_list(F.struct("lo", "hi", "off", "kh", "n", "large")).alias("wanted"))
     # a copy of a row would give its phrases again

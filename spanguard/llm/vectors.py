@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, map_batches
+from .common import Scratch, map_batches, run_batches
 from .components import components
 
 TREES, LEAF, LIST, ROUNDS, BLOCK, AUDIT = 6, 128, 12, 4, 512, 0.99
@@ -99,7 +99,7 @@ def _best(groups: DataFrame) -> DataFrame:
         if len(held) > 1:
             yield finish()
 
-    return groups.repartition("g").sortWithinPartitions("g").select("g", "x", "k", "v").mapInArrow(run, "x long, found array<struct<y: long, s: double>>")
+    return run_batches(groups.repartition("g").sortWithinPartitions("g").select("g", "x", "k", "v"), run, "x long, found array<struct<y: long, s: double>>")
 
 
 def _merged(found: DataFrame) -> DataFrame:
@@ -162,7 +162,7 @@ def _cell_pairs(cells: DataFrame, threshold: float) -> DataFrame:
             if done is not None:
                 yield done
 
-    return cells.repartition("g").sortWithinPartitions("g").select("g", "b", "c", "own", "cell", "root", "least", "v").mapInArrow(run, "p long, q long, u long, v long, s double")
+    return run_batches(cells.repartition("g").sortWithinPartitions("g").select("g", "b", "c", "own", "cell", "root", "least", "v"), run, "p long, q long, u long, v long, s double")
 
 
 def _linked_cells(sides: DataFrame, threshold: float) -> DataFrame:
@@ -187,7 +187,7 @@ def _linked_cells(sides: DataFrame, threshold: float) -> DataFrame:
         if current is not None:
             yield finish()
 
-    return sides.repartition("g").sortWithinPartitions("g").select("g", "first", "v").mapInArrow(run, "g long")
+    return run_batches(sides.repartition("g").sortWithinPartitions("g").select("g", "first", "v"), run, "g long")
 
 
 def bridge(lists: DataFrame, vectors: DataFrame, roots: DataFrame, scratch: Scratch, threshold: float, whole: bool = False) -> DataFrame:
@@ -273,7 +273,7 @@ def _count_links(members: DataFrame, threshold: float) -> DataFrame:
             if done is not None:
                 yield done
 
-    return members.repartition("g").sortWithinPartitions("g").select("g", "b", "c", "own", "x", "m", "v").mapInArrow(run, "x long, n long")
+    return run_batches(members.repartition("g").sortWithinPartitions("g").select("g", "b", "c", "own", "x", "m", "v"), run, "x long, n long")
 
 
 def audit(vectors: DataFrame, roots: DataFrame, threshold: float) -> float:
