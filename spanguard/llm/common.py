@@ -84,6 +84,13 @@ class Scratch:
     def forget(self, table: DataFrame) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {table._spanguard_table}")
 
+    def clear(self, *but: DataFrame) -> None:
+        """Delete all that was saved so far but these tables."""
+        at, fs = self._path(self.root)
+        for f in fs.listStatus(at):
+            if f.getPath().getName() not in [df._spanguard_path.rpartition("/")[2] for df in but]:
+                fs.delete(f.getPath(), True)
+
     def drop(self, *tables: DataFrame) -> None:
         for df in tables:
             at, fs = self._path(df._spanguard_path)

@@ -14,7 +14,13 @@ lies in two. Then
    task has to hold the order of a trigger string's phrases, however many they are;
 3. repeated windows become spans of each document, and the spans are cut out.
 
-Fingerprints have 128 bits together (trigger, phrase or suffix, and place of the trigger).
+Phrases are told apart by two unlike hashes, 64 bits each (a polynomial of the trigger, xxh3 of all
+bytes), blocks and windows of wide groups by xxh3 and the trigger. Suffixes that a task ranks are
+first matched by a rolling hash, and every match is then confirmed byte by byte.
+
+A passage is a repeated run of more than so many words (``passages``); runs of words are found with
+a shorter ``length``. What repeats at the longer length repeats at the shorter one too, so the longer
+one is only sought in texts that hold a long enough run of the shorter.
 
 Defined results: a null text is empty; texts shorter than ``length`` keep everything; matches
 never cross documents; a copied document loses all that it has in windows; repeated rows count
@@ -27,6 +33,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -34,6 +41,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from .common import Scratch, map_batches, rows_of, run_batches
 
 LENGTH, TRIGGER = 400, 100
+#: Bytes over which runs of words are sought, and more words than which a passage has.
+PASSAGE, WORDS = 200, 50
 #: Window starts in a piece of a long text, and bytes that are hashed together.
 PIECE, BUFFER = 1 << 18, 1 << 20
 _BITS = 21
@@ -121,7 +130,9 @@ def phrases(texts: list[bytes], roller: Roller, length: int = LENGTH, k: int = T
         stop = np.append(lo[1:], len(at))
         hi = np.minimum(stop, (base + count)[piece]) - 1
         shift = first[piece] - base[piece]
-        yield who[piece], lo + shift, hi + shift, at[lo] - lo, grams[at[lo]], roller.hash(lo, hi + length)
+        view = memoryview(raw)
+        whole = np.fromiter((xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(lo.tolist(), (hi + length).tolist())), np.uint64, len(lo))
+        yield who[piece], lo + shift, hi + shift, at[lo] - lo, grams[at[lo]], whole
 
 
 def window_hashes(text: bytes, lo: int, hi: int, roller: Roller, length: int = LENGTH) -> np.ndarray:
@@ -172,6 +183,20 @@ def _runs(p: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(p[np.append(0, cut + 1)].tolist(), p[np.append(cut, len(p) - 1)].tolist()))
 
 
+def _same_bytes(held: list, begin: np.ndarray, owner: np.ndarray, like: np.ndarray, twice: np.ndarray, length: int) -> bool:
+    """Whether each window that is said to be like another (``like``: its number) has the same bytes, a run of windows at a time."""
+    at = np.flatnonzero(twice & (like != np.arange(len(like))))
+    if not len(at):
+        return True
+    cut = np.flatnonzero((np.diff(at) != 1) | (np.diff(like[at]) != 1) | (np.diff(owner[at]) != 0) | (np.diff(owner[like[at]]) != 0)) + 1
+    for i, j in zip(at[np.append(0, cut)].tolist(), at[np.append(cut, len(at)) - 1].tolist()):
+        p, q = owner[i], owner[like[i]]
+        x, y = i - begin[p], like[i] - begin[q]
+        if held[p][7][x : x + j - i + length] != held[q][7][y : y + j - i + length]:
+            return False
+    return True
+
+
 def _ranked(phr: DataFrame, length: int) -> DataFrame:
     """Repeated windows of phrases seen once, where a task has all phrases of a trigger string."""
 
@@ -179,17 +204,20 @@ def _ranked(phr: DataFrame, length: int) -> DataFrame:
         roller, held = Roller(length), []
 
         def finish() -> pa.RecordBatch:
-            keys, places = [], []
-            for doc, th, lo, hi, off, kh, n, raw in held:
-                o = (off - np.arange(hi - lo + 1)).astype(np.uint64)
-                keys.append(mix(window_hashes(raw, 0, hi - lo, roller, length) + o * np.uint64(1000003)))
-                places.append(len(o))
-            _, back, times = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-            twice, at, out = times[back] > 1, 0, []
-            for (doc, th, lo, hi, off, kh, n, raw), m in zip(held, places):
+            sizes = [hi - lo + 1 for doc, th, lo, hi, off, kh, n, raw in held]
+            begin = np.append(0, np.cumsum(sizes))
+            places = [(off - np.arange(m)).astype(np.uint64) for (doc, th, lo, hi, off, kh, n, raw), m in zip(held, sizes)]
+            keys = np.concatenate([mix(window_hashes(h[7], 0, m - 1, roller, length) + o * np.uint64(1000003)) for h, m, o in zip(held, sizes, places)])
+            _, first, back, times = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+            owner = np.repeat(np.arange(len(held)), sizes)
+            if not _same_bytes(held, begin, owner, first[back], times[back] > 1, length):
+                ids: dict = {}
+                back = np.array([ids.setdefault((int(o[i]), h[7][i : i + length]), len(ids)) for h, m, o in zip(held, sizes, places) for i in range(m)])
+                times = np.bincount(back)
+            twice, out = times[back] > 1, []
+            for (doc, th, lo, hi, off, kh, n, raw), at, m in zip(held, begin, sizes):
                 if n == 1:
                     out += [(doc, th, lo + a, lo + b) for a, b in _runs(np.flatnonzero(twice[at : at + m]))]
-                at += m
             cols = list(zip(*out)) if out else [[]] * 4
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["doc_id", "th", "lo", "hi"])
 
@@ -214,22 +242,21 @@ def _blocks(phr: DataFrame, length: int) -> DataFrame:
     """
 
     def make():
-        roller = Roller(length)
+        def digest(raw: bytes, *place: int) -> int:
+            return xxhash.xxh3_64_intdigest(b"%d,%d," % place + raw) - 2**63
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             out = []
             for doc, th, lo, hi, off, kh, n, raw in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "lo", "hi", "off", "kh", "n", "raw"))):
                 o = off - np.arange(hi - lo + 1)
-                w = mix(window_hashes(raw, 0, hi - lo, roller, length) + o.astype(np.uint64) * np.uint64(1000003)).view(np.int64)
+                w = [digest(raw[i : i + length], off - i, 0) for i in range(len(o))]
                 block = o // BLOCK
                 at = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
                 to = np.append(at[1:], len(o))
-                start = off - block[at] * BLOCK  # a phrase's first and last block may lack windows, but have the core
-                core = mix(roller.hash(start, start - BLOCK + 1 + length) + block[at].astype(np.uint64))
-                place = o[at].astype(np.uint64) * np.uint64(1000003) + (to - at).astype(np.uint64)
-                whole = mix(roller.hash(at, to - 1 + length) + place)
-                for i, j, c, b in zip(at.tolist(), to.tolist(), core.view(np.int64).tolist(), whole.view(np.int64).tolist()):
-                    out.append((doc, th, kh, c, b, lo + i, lo + j - 1, n, w[i:j]))
+                for i, j, b in zip(at.tolist(), to.tolist(), block[at].tolist()):
+                    start = off - b * BLOCK  # a phrase's first and last block may lack windows, but have the core
+                    core = digest(raw[start : start - BLOCK + 1 + length], b, -1)
+                    out.append((doc, th, kh, core, digest(raw[i : j - 1 + length], off - i, j - i), lo + i, lo + j - 1, n, w[i:j]))
             kinds = (*[pa.int64()] * 5, pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["doc_id", "th", "kh", "core", "bh", "lo", "hi", "n", "w"])
 
@@ -302,6 +329,13 @@ def _cut_phrases(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
 
+def _spread_span(s, r, length: int):
+    """The longest span so far and the last one's ends, with one more run of windows."""
+    a = F.when(r["lo"] <= s["z"], s["a"]).otherwise(r["lo"])
+    z = F.greatest(s["z"], r["hi"] + length)
+    return F.struct(F.greatest(s["most"], z - a).alias("most"), a.alias("a"), z.alias("z"))
+
+
 def spans_of(runs: list[dict] | None, length: int) -> list[tuple[int, int]]:
     """Byte spans that the windows of the runs cover, merged."""
     out: list[list[int]] = []
@@ -313,18 +347,44 @@ def spans_of(runs: list[dict] | None, length: int) -> list[tuple[int, int]]:
     return [tuple(s) for s in out]
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", digests: bool = False, group: int = GROUP) -> DataFrame:
-    """Rows doc_id, n_bytes, n_removed, n_spans, spans and kept text (bytes), or its SHA-256 as kept_sha256."""
+def words_inside(raw: bytes, a: int, b: int) -> int:
+    """Whole words of the span a..b of a text: runs without white space that it doesn't cut."""
+    cut = (0 < a < b and not raw[a - 1 : a].isspace() and not raw[a : a + 1].isspace()) + (a < b < len(raw) and not raw[b - 1 : b].isspace() and not raw[b : b + 1].isspace())
+    return max(0, len(raw[a:b].split()) - cut)
+
+
+def passages(raw: bytes, runs: list[dict] | None, length: int, words: int) -> list[tuple[int, int]]:
+    """The spans of the runs that have more than so many words."""
+    return [(a, b) for a, b in spans_of(runs, length) if words_inside(raw, a, b) > words]
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", digests: bool = False, group: int = GROUP, shorter: int = PASSAGE, words: int = WORDS) -> DataFrame:
+    """Rows doc_id, n_bytes, n_removed, n_spans, spans and kept text (bytes), or its SHA-256 as kept_sha256, and n_passages.
+
+    Only what repeats over ``length`` bytes is removed. ``n_passages`` counts the passages of more
+    than ``words`` words, of ``shorter`` bytes at least, whether they are removed or not.
+    """
     scratch = Scratch(docs.sparkSession, "repeats")
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    runs = repeated_spans(rows.where(F.octet_length("text") >= length), scratch, length, group)
-    runs = runs.withColumnRenamed("doc_id", "i").withColumnRenamed("th", "h")
-    both = rows.join(runs, rows.doc_id.eqNullSafe(runs.i) & (rows.th == runs.h), "left").select("doc_id", "text", "runs")
+    shorter = min(shorter, length)
+    near = scratch.save(repeated_spans(rows.where(F.octet_length("text") >= shorter), scratch, shorter, group).withColumnsRenamed({"doc_id": "i", "th": "h", "runs": "near"}), "near")
+    scratch.clear(near)
+    if shorter < length:
+        # windows that overlap or touch make a span
+        ends = F.aggregate(F.array_sort("near"), F.struct(F.lit(0).alias("most"), F.lit(0).alias("a"), F.lit(-1).alias("z")), lambda s, r: _spread_span(s, r, shorter))
+        held = near.where(ends["most"] >= length).select("i", "h")
+        some = rows.join(held, rows.doc_id.eqNullSafe(held.i) & (rows.th == held.h), "left_semi")
+        runs = scratch.save(repeated_spans(some, scratch, length, group).withColumnsRenamed({"doc_id": "ri", "th": "rh"}), "runs")
+        scratch.clear(near, runs)
+        runs = near.join(runs, near.i.eqNullSafe(runs.ri) & (near.h == runs.rh), "left").select("i", "h", "near", "runs")
+    else:
+        runs = near.withColumn("runs", F.col("near"))
+    both = rows.join(runs, rows.doc_id.eqNullSafe(runs.i) & (rows.th == runs.h), "left").select("doc_id", "text", "runs", "near")
     last = ("kept_sha256", pa.string()) if digests else ("kept", pa.binary())
 
     def make():
-        def one(text: str, runs):
+        def one(text: str, runs, near):
             raw = text.encode()
             spans = spans_of(runs, length)
             kept, at = [], 0
@@ -332,21 +392,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                 kept.append(raw[at:a])
                 at = b
             kept = b"".join([*kept, raw[at:]])
-            return len(raw), len(raw) - len(kept), len(spans), [{"start": a, "stop": b} for a, b in spans], hashlib.sha256(kept).hexdigest() if digests else kept
+            return len(raw), len(raw) - len(kept), len(spans), [{"start": a, "stop": b} for a, b in spans], hashlib.sha256(kept).hexdigest() if digests else kept, len(passages(raw, near, shorter, words)) if near else 0
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = [one(t, r) for t, r in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist())]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])), last[1])
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", last[0]])
+            out = [one(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("text", "runs", "near")))]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])), last[1], pa.int64())
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", last[0], "n_passages"])
 
         return step
 
-    out = map_batches(both, make, f"doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start: int, stop: int>>, {last[0]} {'string' if digests else 'binary'}")
+    out = map_batches(both, make, f"doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start: int, stop: int>>, {last[0]} {'string' if digests else 'binary'}, n_passages long")
     return out.drop("spans") if digests else out
 
 
-def strip_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs``, all columns, with the repeated strings cut out of the text; n_chars, if there, follows.
+def strip_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", words: int = 0) -> DataFrame:
+    """``docs``, all columns, with the repeated strings of more than ``words`` words cut out of the text; n_chars, if there, follows.
 
     A character goes if all its bytes are covered, so the text stays UTF-8. Null texts stay null.
     """
@@ -354,7 +414,8 @@ def strip_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
     runs = repeated_spans(rows.select("doc_id", "th", "text").where(F.octet_length("text") >= length), scratch, length)
-    runs = runs.withColumnRenamed("doc_id", "i").withColumnRenamed("th", "h")
+    runs = scratch.save(runs.withColumnsRenamed({"doc_id": "i", "th": "h"}), "runs")
+    scratch.clear(runs)
     both = rows.join(runs, rows.doc_id.eqNullSafe(runs.i) & (rows.th == runs.h), "left").select("row", "text", "runs")
 
     def make():
@@ -363,7 +424,7 @@ def strip_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
                 return text
             raw, kept, at = text.encode(), [], 0
             inside = lambda i: i < len(raw) and raw[i] & 0xC0 == 0x80
-            for a, b in spans_of(runs, length):
+            for a, b in passages(raw, runs, length, words) if words else spans_of(runs, length):
                 while inside(a):
                     a += 1
                 while inside(b):

@@ -364,6 +364,43 @@ def test_repeats(docs_of, group):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def passages_by_force(texts, length, words):
+    """Repeated runs of bytes with more than so many whole words."""
+    out = []
+    raw = [(t or "").encode() for t in texts]
+    seen = collections.Counter(b[p : p + length] for b in raw for p in range(len(b) - length + 1))
+    for b in raw:
+        gone = bytearray(len(b) + 1)
+        for p in range(len(b) - length + 1):
+            if seen[b[p : p + length]] > 1:
+                gone[p : p + length] = b"\1" * length
+        n = 0
+        for run in re.finditer(rb"\x01+", gone):
+            whole = [m for m in re.finditer(rb"[^\x20\x09-\x0D]+", b) if run.start() <= m.start() and m.end() <= run.end()]
+            n += len(whole) > words
+        out.append(n)
+    return out
+
+
+def test_passages(docs_of):
+    r = random.Random(23)
+    shared = [prose(r, 12), prose(r, 40)]
+    texts = HARD + [prose(r, 20) + r.choice(["", " "]) + r.choice(shared) + r.choice(["", " "]) + prose(r, 20) for _ in range(30)] + [prose(r, 5) for _ in range(5)]
+    got = {x.doc_id: (x.n_passages, x.n_removed) for x in substrings.remove_repeats(docs_of(texts), 120, shorter=40, words=10).collect()}
+    force = repeats_by_force(texts, 120)
+    assert [got[i] for i in range(len(texts))] == [(n, f[1]) for n, f in zip(passages_by_force(texts, 40, 10), force)]
+    assert any(n and not f[1] for n, f in zip(passages_by_force(texts, 40, 10), force))
+
+
+def test_false_matches_are_found_out(monkeypatch):
+    """Windows whose rolling hashes agree are told apart by their bytes."""
+    held = [(1, 0, 0, 3, 5, 9, 1, b"abcdefghijkl"), (2, 0, 0, 3, 5, 9, 1, b"abcdefghijkX")]
+    owner, begin = np.repeat([0, 1], 4), np.array([0, 4, 8])
+    like = np.array([0, 1, 2, 3, 0, 1, 2, 3])
+    assert substrings._same_bytes(held, begin, owner, like, np.array([True] * 3 + [False] + [True] * 3 + [False]), 9)
+    assert not substrings._same_bytes(held, begin, owner, like, np.ones(8, bool), 9)
+
+
 def test_repeats_hard_cases(docs_of):
     once, twice = "".join(map(chr, range(300, 500))), "".join(map(chr, range(600, 900)))
     docs = docs_of([once, twice, twice, None, "", "short"], ids=[1, 2, 2, 3, None, 5])
