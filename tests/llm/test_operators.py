@@ -364,8 +364,8 @@ def test_repeats(docs_of, group):
     assert [got[i] for i in range(len(texts))] == want
 
 
-def passages_by_force(texts, length, words):
-    """Repeated runs of bytes with more than so many whole words."""
+def passages_by_force(texts, length, words, spans=False):
+    """Repeated runs of bytes with more than so many whole words: how many, or where."""
     out = []
     raw = [(t or "").encode() for t in texts]
     seen = collections.Counter(b[p : p + length] for b in raw for p in range(len(b) - length + 1))
@@ -374,11 +374,11 @@ def passages_by_force(texts, length, words):
         for p in range(len(b) - length + 1):
             if seen[b[p : p + length]] > 1:
                 gone[p : p + length] = b"\1" * length
-        n = 0
+        n = []
         for run in re.finditer(rb"\x01+", gone):
             whole = [m for m in re.finditer(rb"[^\x20\x09-\x0D]+", b) if run.start() <= m.start() and m.end() <= run.end()]
-            n += len(whole) > words
-        out.append(n)
+            n += [run.span()] * (len(whole) > words)
+        out.append(n if spans else len(n))
     return out
 
 

@@ -4,12 +4,33 @@ import random
 
 import corpus_pipeline as P
 import sentencepiece
+from pyspark.sql import functions as F
 from tests.conftest import SF
-from tests.llm.test_operators import HARD, near_by_force, overlap_by_force, prose, repeats_by_force
+from tests.llm.test_operators import HARD, near_by_force, overlap_by_force, passages_by_force, prose
 
 from spanguard.llm import catalog
 
 
+def cut_by_force(texts, length, words):
+    """The texts without their repeated passages; these don't begin or end within a character here."""
+    gone = passages_by_force(texts, length, words, spans=True)
+    return [b"".join(raw[a:z] for a, z in zip([0, *(z for _, z in cut)], [*(a for a, _ in cut), len(raw)])).decode(errors="ignore") for raw, cut in zip([t.encode() for t in texts], gone)]
+
+
+def test_empty_tables(spark, docs_of, tmp_path):
+    """Every stage, of an empty table and of one with columns of the names that operators use inside."""
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clash = {c: f"own {c}" for c in ("i", "h", "th", "row", "id", "words", "runs", "sk", "label", "u", "cut", "near", "hits")}
+    for docs in (docs_of([]), docs_of([None, "", "one more text of some words", "one more text of some words"])):
+        for name, value in clash.items():
+            docs = docs.withColumn(name, F.lit(value))
+        for name, stage in P.STAGES[:-1]:
+            out = stage(spark, docs, str(tmp_path))
+            assert out.columns == docs.columns
+            assert all(x[c] == v for x in out.collect() for c, v in clash.items())
+        assert P.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
+
+
 def test_stages(spark, docs_of, tmp_path):
     r = random.Random(21)
     passage, item = prose(r, 70), prose(r, 30)
@@ -34,8 +55,7 @@ def test_stages(spark, docs_of, tmp_path):
             want = near_by_force([before[i] for i in ids], 5, 80)[1]
             assert set(at) == {ids[c] for c in want} and all(at[i] == before[i] for i in at)
         elif name == "repeated-passages":
-            cut = repeats_by_force([before[i] for i in ids], P.PASSAGE)
-            assert at == {i: c[3].decode(errors="ignore") for i, c in zip(ids, cut)} and not any(passage[:300] in t for t in at.values())
+            assert at == dict(zip(ids, cut_by_force([before[i] for i in ids], P.PASSAGE, P.WORDS))) and not any(passage[:300] in t for t in at.values())
         else:
             assert set(at) == {i for i in ids if not overlap_by_force(before[i], item)} and len(ids) - len(at) == 2
     out = {x.doc_id: x for x in P.STAGES[-1][1](spark, docs, str(tmp_path)).collect()}
