@@ -1,7 +1,8 @@
 """Main text of web pages by minimum-cut labelling of their blocks.
 
 A page is cut into blocks of text in page order, each with its open elements. A logistic
-classifier, fitted to a bounded sample of pages whose markup is telling, gives each block a log-odds of being content; the positive part is the capacity of
+classifier, fitted to the blocks of a bounded sample of pages (those that other pages have too aren't content,
+whatever they look like), gives each block a log-odds of being content; the positive part is the capacity of
 its edge from the source, the negative part that of its edge to the sink. Neighbouring blocks
 are joined by a smoothness edge that is weaker the more elements lie between them, and so are
 consecutive blocks under one parent. The blocks on the source's side of a minimum cut are the
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 
 import numpy as np
 import pyarrow as pa
@@ -46,13 +47,15 @@ NEGATED = frozenset("has no with without".split())
 SAME = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 #: Weights to begin with, in log-odds, in the order of ``features``.
-PLAIN = (-0.6, 3.2, -5.0, 0.8, 2.0, 5.0, -9.0, -7.0)
+PLAIN = (-0.6, 3.2, -5.0, 0.8, 2.0, 0.0, 0.0, -1.0, 5.0, -9.0, -7.0)
 #: Pages that the classifier is fitted to, at most: those of least id hash.
 TRAIN_PAGES = 400
 #: Smoothness of neighbours in page order, and of consecutive blocks of one parent.
 S_NEXT, S_PARENT = 0.5, 0.4
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+#: A tag's name and attributes up to its end; no part is given back, so a tag that never ends is read once.
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+_OPENS = re.compile(r"<(?=[a-zA-Z!?]|/[a-zA-Z])")
 #: A whole attribute: its name, and its value if it has one. Matches follow each other, so none begins inside a name or a value.
 _ATTR = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -62,11 +65,12 @@ _END = {t: re.compile(f"</{t}(?=[\\s/>])[^>]*>?|\\Z", re.I) for t in RAW_TAGS |
 class Node:
     """An open element: what it and its ancestors say about the text inside."""
 
-    __slots__ = ("tag", "parent", "depth", "good", "bad", "form", "silent", "link")
+    __slots__ = ("tag", "parent", "depth", "block", "good", "bad", "form", "silent", "link")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
+        self.block = self if tag in BLOCK_TAGS or not parent else parent.block
         self.good, self.bad, self.form, self.silent, self.link = (parent.good, parent.bad, parent.form, parent.silent, parent.link) if parent else (False,) * 5
         if tag in SILENT_TAGS:
             self.silent = True
@@ -97,16 +101,66 @@ class Node:
 
 
 class Block:
-    __slots__ = ("text", "node", "linked")
+    __slots__ = ("text", "node", "linked", "at")
 
-    def __init__(self, text: str, node: Node, linked: int):
-        self.text, self.node, self.linked = text, node, linked
+    def __init__(self, text: str, node: Node, linked: int, at: int):
+        self.text, self.node, self.linked, self.at = text, node, linked, at
+
+
+class _Open:
+    """The stack of open elements, which knows where the last one of each tag stands."""
+
+    def __init__(self):
+        self.stack = [Node("#", "", None)]
+        self.places: dict[str, list[int]] = {}
+
+    @property
+    def top(self) -> Node:
+        return self.stack[-1]
+
+    def push(self, tag: str, attrs: str) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(Node(tag, attrs, self.stack[-1]))
+
+    def _last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def close(self, tags, within=()) -> None:
+        """Close the innermost element of ``tags`` and what is open in it, unless one of ``within`` is in between."""
+        at = self._last(tags)
+        if at and at > self._last(within):
+            while len(self.stack) > at:
+                self.places[self.stack.pop().tag].pop()
+
+
+def _markup(page: str):
+    """Start and end of each piece of markup, with its match if it is a tag. Every character is read a bounded number of times.
+
+    A quote that is never closed ends at the next ``>``, and what is cut off ends with the page.
+    """
+    at, n = 0, len(page)
+    while m := _OPENS.search(page, at):
+        start = m.start()
+        tag = None
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            end = n if end < 0 else end + 3
+        elif page[start + 1] in "!?":
+            end = page.find(">", start) + 1 or n
+        else:
+            tag = _TAG.match(page, start)
+            if tag:
+                end = tag.end()
+            else:
+                end = page.find(">", start) + 1 or n
+                tag = _TAG.match(re.sub("[\"']", " ", page[start:end]))
+        at = yield start, end, tag
+        at = end if at is None else at
 
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page, in page order."""
-    root = Node("#", "", None)
-    stack, out, parts, at = [root], [], [], 0
+    opened, out, parts, at = _Open(), [], [], 0
     linked = 0
 
     def flush():
@@ -114,37 +168,27 @@ def blocks_of(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                node = stack[-1]
-                while node.tag not in BLOCK_TAGS and node.parent:
-                    node = node.parent
-                out.append(Block(text, node, linked))
+                out.append(Block(text, opened.top.block, linked, at))
             parts, linked = [], 0
 
     def add(raw: str):
         nonlocal linked
-        if raw and not stack[-1].silent:
+        if raw and not opened.top.silent:
             text = html.unescape(raw) if "&" in raw else raw
             parts.append(text)
-            if stack[-1].link:
+            if opened.top.link:
                 linked += len(text)
 
-    def close(tags, within=()):
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                del stack[i:]
-                return
-            if stack[i].tag in within:
-                return
-
+    pieces, skip = _markup(page), None
     while True:
-        m = _TOKEN.search(page, at)
-        if not m:
-            rest = page[at:]
-            add(rest[: rest.rfind("<")] if re.search(r"<[a-zA-Z/!?][^>]*\Z", rest) else rest)
+        try:
+            start, end, m = pieces.send(skip)
+        except StopIteration:
             break
-        add(page[at : m.start()])
-        at = m.end()
-        if not m[2]:
+        skip = None
+        add(page[at:start])
+        at = end
+        if m is None:
             continue
         tag = m[2].lower()
         if tag == "br":
@@ -154,54 +198,92 @@ def blocks_of(page: str) -> list[Block]:
         if block:
             flush()
         if m[1]:
-            close((tag,), ("table",) if tag in ("p", "li") else ())
+            opened.close((tag,), ("table",) if tag in ("p", "li") else ())
             continue
         if tag == "body":
-            close(("head",))
+            opened.close(("head",))
         if block:
-            if stack[-1].tag in SILENT_TAGS and stack[-1].tag == "head":
-                stack.pop()
-            close(("p",), ("table", "li", "td", "div", "article", "section", "aside", "blockquote"))
+            if opened.top.tag == "head":
+                opened.close(("head",))
+            opened.close(("p",), ("table", "li", "td", "div", "article", "section", "aside", "blockquote"))
         if tag in SAME:
-            close(SAME[tag], ("ul", "ol", "dl", "table"))
+            opened.close(SAME[tag], ("ul", "ol", "dl", "table"))
         if tag in _END:
-            at = _END[tag].search(page, at).end()
+            at = skip = _END[tag].search(page, at).end()
             continue
         if tag not in VOID_TAGS and not m[3].endswith("/"):
-            stack.append(Node(tag, m[3], stack[-1]))
+            opened.push(tag, m[3])
+    add(page[at:])
     flush()
     return out
 
 
+#: What ``features`` says, in order; the last three come from the markup's words.
+FEATURES = ("constant", "length", "linked", "sentence", "title", "commas", "capitals", "odd", "good", "bad", "form")
+MARKUP = 3
+
+
 def features(b: Block) -> tuple[float, ...]:
-    """Constant, length, share of linked text, ends like a sentence, title, and what the markup says: good, bad, form."""
-    node, words = b.node, b.text.count(" ") + 1
-    sentence = b.text[-1] in ".!?…。" or (words > 8 and ". " in b.text)
-    return 1.0, min(words, 40) / 40, b.linked / len(b.text), float(sentence), float(node.tag == "h1"), float(node.good), float(node.bad), float(node.form)
+    """Figures of a block's text and place, and what the markup around it says."""
+    node, text, words = b.node, b.text, b.text.count(" ") + 1
+    sentence = text[-1] in ".!?…。" or (words > 8 and ". " in text)
+    capitals = sum(w[0].isupper() for w in text.split(" ")) / words
+    odd = sum(map(text.count, "©|»›•#@")) / words
+    return (
+        1.0, min(words, 40) / 40, b.linked / len(text), float(sentence), float(node.tag == "h1"),
+        min(text.count(",") / words, 0.5), capitals, min(odd, 1.0), float(node.good), float(node.bad), float(node.form),
+    )
 
 
 def log_odds(b: Block, weights: tuple[float, ...] = PLAIN) -> float:
     return sum(w * f for w, f in zip(weights, features(b)))
 
 
-def fit(pages: list[str], steps: int = 400, rate: float = 0.1, decay: float = 1e-3) -> tuple[float, ...]:
-    """Weights by logistic regression on the blocks of pages whose markup tells content from the rest.
+#: Words from which on a block tells by itself whether other pages have it too, and how many such pages tell.
+TELLING, PAGES = 3, 3
+#: How often a block of many pages is shown to the classifier, so that a site's own lines don't outweigh the articles.
+SHOWN = 8
+
+
+def labelled(pages: list[str]) -> tuple[list[tuple[float, ...]], list[float]]:
+    """Features and labels of the blocks that are known to be content or not.
 
-    Every such block is shown twice, once without what the markup says, so that the text's own
-    features are learned for pages that say nothing. Pages that tell no two kinds give ``PLAIN``.
+    What stands on several pages of unlike main parts (their longest blocks, so copies of a page are
+    one) is the site's and not the article's, whatever its markup; of the rest, blocks in articles are content, those in menus, forms and the like aren't.
     """
-    rows, labels = [], []
-    for page in pages:
-        for b in blocks_of(page or ""):
-            if b.node.good or b.node.bad or b.node.form:
+    found = [blocks_of(page or "") for page in pages]
+    on: dict[str, set[str]] = {}
+    for blocks in found:
+        longest = max((b.text for b in blocks), key=len, default="")
+        for b in blocks:
+            if b.text.count(" ") + 1 >= TELLING:
+                on.setdefault(b.text, set()).add(longest)
+    rows, labels, shown = [], [], Counter()
+    for page, blocks in zip(pages, found):
+        for b in blocks:
+            again = len(on.get(b.text, ())) >= PAGES
+            if again and shown[b.text] == SHOWN:
+                continue
+            shown[b.text] += 1
+            if again or b.node.good or b.node.bad or b.node.form:
                 rows.append(features(b))
-                labels.append(float(b.node.good and not b.node.bad and not b.node.form))
+                labels.append(float(b.node.good and not again and not b.node.bad and not b.node.form))
+    return rows, labels
+
+
+def fit(pages: list[str], steps: int = 400, rate: float = 0.1, decay: float = 1e-3) -> tuple[float, ...]:
+    """Weights by logistic regression on the blocks of known kind (``labelled``).
+
+    Every such block is shown twice, once without what the markup's words say, so that the text's
+    own features are learned for pages that say nothing. Pages that tell no two kinds give ``PLAIN``.
+    """
+    rows, labels = labelled(pages)
     if len(set(labels)) < 2:
         return PLAIN
     x, y = np.array(rows), np.array(labels)
-    hidden = x * np.array([1.0] * 5 + [0.0] * 3)
+    hidden = x * np.array([1.0] * (len(FEATURES) - MARKUP) + [0.0] * MARKUP)
     x, y = np.concatenate([x, hidden]), np.concatenate([y, y])
-    w, m, s = np.array(PLAIN), np.zeros(8), np.zeros(8)
+    w, m, s = np.array(PLAIN), np.zeros(len(PLAIN)), np.zeros(len(PLAIN))
     for t in range(1, steps + 1):
         g = x.T @ (1 / (1 + np.exp(-np.clip(x @ w, -30, 30))) - y) / len(y) + decay * (w - np.array(PLAIN))
         m, s = 0.9 * m + 0.1 * g, 0.99 * s + 0.01 * g * g
@@ -260,7 +342,7 @@ def minimum_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[
 
 
 def _max_flow_side(rest, own, near) -> list[int]:
-    """Shortest augmenting paths; afterwards all that can't reach the sink is on the source's side."""
+    """Flow by levels (Dinic); afterwards all that can't reach the sink is on the source's side."""
     s, t = -1, -2
     cap: dict[int, dict[int, float]] = {i: dict(near[i]) for i in rest}
     cap[s], cap[t] = {}, {}
@@ -270,23 +352,38 @@ def _max_flow_side(rest, own, near) -> list[int]:
         elif own[i] < 0:
             cap[i][t], cap[t][i] = -own[i], 0.0
     while True:
-        before, queue = {s: s}, deque([s])
-        while queue and t not in before:
+        level, queue = {s: 0}, deque([s])
+        while queue:
             a = queue.popleft()
             for b, c in cap[a].items():
-                if c > 1e-12 and b not in before:
-                    before[b] = a
+                if c > 1e-12 and b not in level:
+                    level[b] = level[a] + 1
                     queue.append(b)
-        if t not in before:
+        if t not in level:
             break
-        path, b = [], t
-        while b != s:
-            path.append((before[b], b))
-            b = before[b]
-        flow = min(cap[a][b] for a, b in path)
-        for a, b in path:
-            cap[a][b] -= flow
-            cap[b][a] = cap[b].get(a, 0.0) + flow
+        ahead = {a: [b for b, c in cap[a].items() if c > 1e-12 and level.get(b, 0) == level[a] + 1] for a in level}
+        path = [s]
+        while path:
+            a = path[-1]
+            if a == t:
+                flow = min(cap[x][y] for x, y in zip(path, path[1:]))
+                keep = len(path)
+                for k in range(len(path) - 2, -1, -1):
+                    x, y = path[k], path[k + 1]
+                    cap[x][y] -= flow
+                    cap[y][x] = cap[y].get(x, 0.0) + flow
+                    if cap[x][y] <= 1e-12:
+                        keep = k + 1
+                del path[keep:]
+                continue
+            while ahead[a] and cap[a][ahead[a][-1]] <= 1e-12:
+                ahead[a].pop()
+            if ahead[a]:
+                path.append(ahead[a][-1])
+            else:
+                path.pop()
+                if path:
+                    ahead[path[-1]].pop()
     reach, queue = {t}, deque([t])
     while queue:
         b = queue.popleft()

@@ -6,6 +6,7 @@ import html
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -180,6 +181,33 @@ def test_main_text():
     assert mainhtml.main_text("<article>" + "<p>A long paragraph of words.</p>" * 3000) == "\n".join(["A long paragraph of words."] * 3000)
 
 
+def test_hostile_pages_take_linear_time():
+    n = 60_000
+    pages = ["<a " * n, '<a ">' * n, "<a '\"" * n, "<div>" * n + "</x>" * n, "<b>" * n + "t<hr>" * n, "<p><table>" + "<b>" * n + "t<hr>" * n, "<!--" * n, "</" * n, "<li>x" * n, "<script>" * n, "<" * n, "&" * n, "<p>a b c</p><p>Two words, and more.</p>" * (n // 10)]
+    began = time.process_time()
+    for page in pages:
+        mainhtml.main_text(page)
+    assert time.process_time() - began < 60
+    assert mainhtml.main_text('<article><p title="never closed>One sentence here.</p><p>Another one here.</p></article>') == "One sentence here.\nAnother one here."
+
+
+def test_pages_without_an_article_element(spark):
+    """The text's own features and what other pages repeat, where no word of the markup helps."""
+    r = random.Random(29)
+    pages, want = [], []
+    for i in range(60):
+        body = [prose(r, r.randint(20, 60)).capitalize() + "." for _ in range(3)]
+        if r.random() < 0.5:
+            body[1] = " ".join(prose(r, 8).capitalize() + ("," if k % 2 else ".") for k in range(4)) + "."
+        menu = "".join(f"<li><a href=/{k}>{prose(r, 1)}</a></li>" for k in range(6))
+        pages.append(f"<div><ul>{menu}</ul></div><div>{''.join(f'<p>{b}</p>' for b in body)}</div><div><p>This site uses small files to remember you, as most others do.</p><p>Some rights reserved 2024 | Imprint</p></div>")
+        want.append("\n".join(body))
+    telling = [f"<body><nav><a href=/>{prose(r, 2)}</a></nav><article><p>{prose(r, r.randint(8, 60)).capitalize()}.</p><p>{prose(r, r.randint(8, 60)).capitalize()}.</p></article></body>" for _ in range(20)]
+    weights = mainhtml.fit(pages + telling)
+    got = [mainhtml.main_text(p, weights) for p in pages]
+    assert sum(g == w for g, w in zip(got, want)) >= 57
+
+
 def test_attributes_by_their_whole_names():
     shown = ['href="/hidden-gems"', "href=/hidden", 'title="A hidden lake"', "title='style = \"display:none\"'", 'data-hidden="false"', "data-hidden", 'x-class="sidebar"', 'data-id=footer title=" id=nav "', 'hidden-x', 'alt = "role=navigation"', 'a="b"title="hidden"']
     for attrs in shown:
