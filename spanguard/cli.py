@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .functions import fixed_values as V
 from .functions import guard as G
-from .operators import metrics, validation
+from .operators import metrics, models, validation
 from .plans import guard, pii, review
 from .session import build_session
 from .sources import readers, writers
@@ -21,9 +21,14 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--master")
     sub = p.add_subparsers(dest="command", required=True)
     a = sub.add_parser("anonymize", help="documents to an audit and a final artifact")
-    a.add_argument("--input", required=True)
-    a.add_argument("--output-dir", required=True)
+    a.add_argument("--input", default="data/documents", help="JSON lines or Parquet; {split} in it stands for --split")
+    a.add_argument("--output-dir", default="output/anonymize")
     a.add_argument("--format", choices=("jsonl", "parquet"), default="jsonl")
+    a.add_argument("--split", default="test", help="of Parquet with a column split, its rows; and the name in --input")
+    a.add_argument("--batch-size", type=int, help="rows that a model gets at once")
+    a.add_argument("--device", default="auto", help="given to the tagger's loader")
+    a.add_argument("--tagger", help="package.module:function, called with the device, that returns a tagger")
+    a.add_argument("--verbose", "-v", action="store_true")
     a.add_argument("--max-samples", type=int)
     a.add_argument("--stratify-by")
     a.add_argument("--min-score", type=float, default=V.MIN_SCORE)
@@ -33,6 +38,9 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("--input", required=True)
     g.add_argument("--output-dir", required=True)
     g.add_argument("--thresholds")
+    g.add_argument("--test-sample", type=int, help="the first rows only, by row_id where there is one")
+    g.add_argument("--calibrate", action="store_true", help="find the thresholds on the rows' labels first")
+    g.add_argument("--evaluate", action="store_true", help="metrics of the rows' labels too")
     e = sub.add_parser("guard-evaluate", help="metrics of scored prompts (label, p1)")
     e.add_argument("--predictions", required=True)
     e.add_argument("--thresholds")
@@ -40,44 +48,93 @@ def parser() -> argparse.ArgumentParser:
     s = sub.add_parser("evaluate", help="span metrics of an audit artifact")
     s.add_argument("--audit", required=True)
     s.add_argument("--dataset", required=True)
-    r = sub.add_parser("review", help="the cascade, on replies that were collected before")
+    r = sub.add_parser("review", help="the cascade: by a model, or on replies that were collected before")
     r.add_argument("--code", required=True)
-    r.add_argument("--stage1", required=True)
-    r.add_argument("--stage2", required=True)
+    r.add_argument("--stage1", help="lines of the first stage; with --client they are written if not given")
+    r.add_argument("--stage2", help="lines of the second stage; with --client they are written")
     r.add_argument("--output-dir", required=True)
+    r.add_argument("--client", help="package.module:function that returns an async call of (instructions, input)")
+    r.add_argument("--cwe", help="JSON array of the known ids")
+    r.add_argument("--sample", type=int, help="the first ids only")
+    r.add_argument("--concurrency", type=int, default=10)
     return p
 
 
 def run_anonymize(spark, o) -> dict:
     began = time.time()
-    docs = readers.read_jsonl(spark, o.input, readers.DOCUMENTS) if o.format == "jsonl" else readers.read_documents(spark, o.input)
+    source = o.input.replace("{split}", o.split)
+    docs = readers.read_jsonl(spark, source, readers.DOCUMENTS) if o.format == "jsonl" else readers.read_documents(spark, source)
+    if "split" in docs.columns:
+        docs = docs.where(F.col("split") == o.split)
+    if o.batch_size:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(o.batch_size))
+    if o.verbose:
+        spark.sparkContext.setLogLevel("INFO")
     if o.max_samples:
         docs = readers.stratified_head(docs, o.stratify_by, o.max_samples, "uid") if o.stratify_by else docs.orderBy("uid").limit(o.max_samples)
     settings = pii.PiiSettings(min_score=o.min_score, high_confidence=o.high_confidence)
     # the plan runs once: both artifacts are projections of what is written first
     work = f"{o.output_dir}/records"
-    pii.anonymize(docs, settings).write.mode("overwrite").parquet(work)
+    tagger = models.client_of(o.tagger, o.device)() if o.tagger else None
+    pii.anonymize(docs, settings, tagger).write.mode("overwrite").parquet(work)
     records = spark.read.parquet(work)
     if not o.no_audit:
         writers.write_jsonl(records, f"{o.output_dir}/audit")
-    writers.write_jsonl(pii.sanitized(records), f"{o.output_dir}/final")
-    return pii.summary(records, settings, time.time() - began).first().asDict()
+    final = pii.sanitized(records)
+    writers.write_jsonl(final, f"{o.output_dir}/final")
+    out = pii.summary(records, settings, time.time() - began).first().asDict()
+    if out["total_documents"] <= writers.DRIVER_ROWS:  # what one file may hold; the lines have all
+        writers.write_json_array(final, f"{o.output_dir}/final.json")
+        writers.write_spreadsheet(final, f"{o.output_dir}/final.xlsx")
+    writers.write_json(spark, out, f"{o.output_dir}/summary.json")
+    return out
+
+
+def _calibrated(spark, rows, path: str | None, wanted: bool) -> tuple[float, float]:
+    """Thresholds found on labelled rows if wanted, else those of the file or the defaults."""
+    low, high = readers.read_thresholds(spark, path)
+    best = metrics.calibrate(_classed(rows)).first() if wanted else None
+    return (best.t_low, best.t_high) if best else (low, high)
+
+
+def _classed(rows):
+    return rows.withColumn("gold", G.gold_class(F.col("label"))).withColumn("pred", G.model_class(G.raw_label(F.col("p1"))))
 
 
 def run_guard(spark, o) -> dict:
-    low, high = readers.read_thresholds(spark, o.thresholds)
-    decided = guard.decisions(spark.read.parquet(o.input), guard.GuardSettings(low, high))
+    began = time.time()
+    prompts = spark.read.parquet(o.input)
+    if "split" in prompts.columns:
+        prompts = prompts.where(F.col("split") == "test")
+    if o.test_sample:
+        prompts = (prompts.orderBy("row_id") if "row_id" in prompts.columns else prompts).limit(o.test_sample)
+    scored = prompts if "p1" in prompts.columns else prompts.withColumn("p1", G.stub_score(F.col("text")))
+    with metrics.Throughput(scored.withColumn("raw_label", G.raw_label(F.col("p1")))) as t:
+        # the model's scores are written once, and everything else reads them
+        t.df.write.mode("overwrite").parquet(f"{o.output_dir}/scored")
+    scored = spark.read.parquet(f"{o.output_dir}/scored")
+    writers.write_jsonl(scored.select("text", "p1", "raw_label"), f"{o.output_dir}/raw_predictions")
+    low, high = _calibrated(spark, scored, o.thresholds, o.calibrate)
+    decided = guard.decisions(scored, guard.GuardSettings(low, high))
     decided.write.mode("overwrite").parquet(f"{o.output_dir}/decisions")
     decided = spark.read.parquet(f"{o.output_dir}/decisions")
-    writers.write_csv(guard.results_table(decided), f"{o.output_dir}/results")
-    broken = {r.rule: r.n for r in validation.broken(decided, validation.decision_rules()).collect()}
-    return guard.statistics(decided).first().asDict() | {"broken_rules": broken}
+    table = guard.results_table(decided)
+    writers.write_csv(table, f"{o.output_dir}/results")
+    out = guard.statistics(decided).first().asDict() | {"broken_rules": {r.rule: r.n for r in validation.broken(decided, validation.decision_rules()).collect()}}
+    out |= {"t_low": low, "t_high": high, "elapsed_seconds": round(time.time() - began, 2), "inference": t.report()}
+    if out["total"] <= writers.DRIVER_ROWS:
+        out["workbook"] = writers.write_spreadsheet(table, f"{o.output_dir}/results.xlsx")
+    if o.evaluate:
+        out["metrics"] = metrics.binary_metrics(_classed(scored)).first().asDict()
+    writers.write_json(spark, {"t_low": low, "t_high": high}, f"{o.output_dir}/thresholds.json")
+    writers.write_json(spark, out, f"{o.output_dir}/summary.json")
+    return out
 
 
 def run_guard_evaluate(spark, o) -> dict:
     rows = spark.read.parquet(o.predictions)
     low, high = readers.read_thresholds(spark, o.thresholds)
-    rows = rows.withColumn("gold", G.gold_class(F.col("label"))).withColumn("pred", G.model_class(G.raw_label(F.col("p1"))))
+    rows = _classed(rows)
     out = {"metrics": metrics.binary_metrics(rows).first().asDict(), "zones": metrics.zones(rows, low, high).first().asDict(), "harmful": metrics.harmful(rows, low).first().asDict()}
     out["confusion"] = [r.asDict() for r in metrics.confusion(rows).collect()]
     return out | ({"thresholds": metrics.calibrate(rows).first().asDict()} if o.calibrate else {})
@@ -91,8 +148,28 @@ def run_evaluate(spark, o) -> dict:
 
 def run_review(spark, o) -> dict:
     code = readers.read_code(spark, o.code)
-    merged = review.merge(readers.read_jsonl(spark, o.stage1, readers.STAGE1), readers.read_jsonl(spark, o.stage2, readers.STAGE2), code)
-    writers.write_csv(merged.orderBy("unique_id"), f"{o.output_dir}/results")
+    if o.sample:
+        code = code.orderBy("unique_id").limit(o.sample)
+    first, second = o.stage1, o.stage2
+    if o.client:
+        if not o.cwe:
+            raise SystemExit("--client needs --cwe")
+        client = models.client_of(o.client)
+        ask = lambda rows, words: rows.join(models.ask(rows, client, words, concurrency=o.concurrency), "unique_id", "left")
+        if not first:
+            first = f"{o.output_dir}/stage1"
+            writers.write_jsonl(review.triage(ask(code, models.TRIAGE_INSTRUCTIONS), F.col("reply")), first)
+        second = f"{o.output_dir}/stage2"
+        flagged = review.flagged(review.latest(readers.read_stage(spark, first, readers.STAGE1)), code)
+        writers.write_jsonl(review.analyse(ask(flagged, models.ANALYSIS_INSTRUCTIONS), F.col("reply"), readers.read_cwe(spark, o.cwe)), second)
+    if not first or not second:
+        raise SystemExit("--stage1 and --stage2 are needed where there is no --client")
+    merged = review.merge(readers.read_stage(spark, first, readers.STAGE1), readers.read_stage(spark, second, readers.STAGE2), code)
+    merged.write.mode("overwrite").parquet(f"{o.output_dir}/merged")
+    merged = spark.read.parquet(f"{o.output_dir}/merged").orderBy("unique_id")
+    writers.write_csv(merged, f"{o.output_dir}/results")
+    if merged.count() <= writers.DRIVER_ROWS:
+        writers.write_spreadsheet(merged, f"{o.output_dir}/results.xlsx")
     return {r.rule: r.n for r in validation.broken(merged, validation.review_rules()).collect()}
 
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import asyncio
+import importlib
 from collections.abc import Awaitable, Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import SPAN_TYPE
 from .spans import decode_tags, windows
 
 
@@ -17,7 +19,7 @@ class RetryLater(Exception):
 
 
 def tag_windows(docs: DataFrame, tokens: Callable[[Column], Column], predict: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], size: int = 512, overlap: int = 64) -> DataFrame:
-    """Adds model_spans: one array of spans for each window of each document.
+    """Adds model_spans, one array of spans for each window of each document, and model_error: it has no tags.
 
     ``tokens`` gives the text's tokens (start, end); ``predict`` maps frames with column ``pieces`` to
     frames with ``tags`` and ``scores`` of equal lengths, and loads its model once for each task.
@@ -41,7 +43,9 @@ def tag_windows(docs: DataFrame, tokens: Callable[[Column], Column], predict: Ca
         at = F.slice(F.col("_tokens"), w["token_start"] + 1, w["token_end"] - w["token_start"])
         return decode_tags(F.transform(at, lambda t, k: F.struct(F.get(F.get(F.col("_p.tags"), i), k).alias("tag"), t["start"].alias("start"), t["end"].alias("end"), F.get(F.get(F.col("_p.scores"), i), k).alias("score"))))
 
-    return docs.withColumn("model_spans", F.transform("_windows", spans)).drop("_tokens", "_windows", "pieces", "_p")
+    failed = F.col("_p.tags").isNull()
+    docs = docs.withColumn("model_spans", F.when(failed, F.array().cast(f"array<{SPAN_TYPE}>")).otherwise(F.transform("_windows", spans))).withColumn("model_error", failed & F.col("text").isNotNull())
+    return docs.drop("_tokens", "_windows", "pieces", "_p")
 
 
 def ask(rows: DataFrame, client: Callable[[], Callable[[str, str], Awaitable[str]]], instructions: str, text: str = "code", key: str = "unique_id", concurrency: int = 10, attempts: int = 3, wait: tuple[float, float] = (1.0, 10.0)) -> DataFrame:
@@ -60,7 +64,8 @@ def ask(rows: DataFrame, client: Callable[[], Callable[[str, str], Awaitable[str
             async with free:
                 for k in range(attempts):
                     try:
-                        return await call(instructions, value)
+                        reply = await call(instructions, value)
+                        return reply if reply and not reply.isspace() else None  # an empty reply says nothing
                     except RetryLater:
                         if k + 1 < attempts:
                             await asyncio.sleep(min(wait[1], wait[0] * 2**k))
@@ -78,6 +83,43 @@ def ask(rows: DataFrame, client: Callable[[], Callable[[str, str], Awaitable[str
     return rows.select(key, text).mapInPandas(run, schema)
 
 
+def client_of(name: str, *args) -> Callable[[], Callable[[str, str], Awaitable[str]]]:
+    """A client's or tagger's factory by its name, ``package.module:function``, looked up where it is called."""
+
+    def make():
+        module, _, function = name.partition(":")
+        return getattr(importlib.import_module(module), function)(*args)
+
+    return make
+
+
+def isolated(load: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A ``predict`` for ``tag_windows`` from a model's loader.
+
+    ``load()`` is called once for each task and returns a function of one frame. A frame that it
+    fails on is given to it row by row, and a row that it fails on gets no tags, so that only that
+    document becomes an error record.
+    """
+
+    def predict(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = load()
+        for frame in frames:
+            try:
+                yield model(frame)
+                continue
+            except Exception:
+                parts = []
+            for i in range(len(frame)):
+                try:
+                    found = model(frame.iloc[i : i + 1])
+                    parts.append((found["tags"].iloc[0], found["scores"].iloc[0]))
+                except Exception:
+                    parts.append((None, None))
+            yield pd.DataFrame(parts, columns=["tags", "scores"])
+
+    return predict
+
+
 def canned(replies: list[str]) -> Callable[[], Callable[[str, str], Awaitable[str]]]:
     """A stand-in for a language model: the reply depends on the length of the input."""
 
@@ -90,5 +132,16 @@ def canned(replies: list[str]) -> Callable[[], Callable[[str, str], Awaitable[st
     return make
 
 
+def stand_in():
+    """A client without a model, to try the review's command line: code that calls ``eval`` is vulnerable."""
+
+    async def call(instructions: str, value: str) -> str:
+        if "eval(" not in value:
+            return '{"verdict": "secure"}'
+        return '{"verdict": "vulnerable", "cwe_id": "CWE-95", "mechanism": "evaluates its input", "fixed_code": "pass", "justification": "calls eval"}'
+
+    return call
+
+
 TRIAGE_INSTRUCTIONS = 'You are given source code. Judge whether it has a security weakness. Answer with one JSON object: {"verdict": "vulnerable" | "secure" | "uncertain"}.'
 ANALYSIS_INSTRUCTIONS = 'You are given source code that may have a security weakness. Answer with one JSON object with the keys "verdict", "cwe_id" (such as CWE-79, or empty), "mechanism", "fixed_code" and "justification".'

@@ -105,12 +105,14 @@ def merge_spans(spans: Column) -> Column:
 
 
 def best_of_each(spans: Column) -> Column:
-    """The highest score of each (label, start, end), by start."""
-    def step(acc: Column, s: Column) -> Column:
-        same = lambda k: (k["label"] == s["label"]) & (k["start"] == s["start"]) & (k["end"] == s["end"])
-        return F.when(F.exists(acc, same), F.transform(acc, lambda k: F.when(same(k) & (s["score"] > k["score"]), s).otherwise(k))).otherwise(F.concat(acc, F.array(s)))
-
-    return sort_by_start(F.aggregate(spans, F.array().cast(SPAN_TYPE), step))
+    """The highest score of each (label, start, end), the first on ties, by start."""
+    key = lambda s, i: F.struct(s["label"].alias("label"), s["start"].alias("start"), s["end"].alias("end"), (-s["score"]).alias("score"), i.alias("i"))
+    ranked = F.array_sort(F.transform(spans, lambda s, i: F.struct(key(s, i).alias("k"), s.alias("s"))))
+    same = lambda a, b: (a["label"] == b["label"]) & (a["start"] == b["start"]) & (a["end"] == b["end"])
+    firsts = F.filter(F.transform(ranked, lambda r, i: F.struct(r.alias("r"), F.get(ranked, i - 1).alias("last"))), lambda x: x["last"].isNull() | ~same(x["r"]["k"], x["last"]["k"]))
+    # of equal starts in the order in which they first came
+    order = F.array_sort(F.transform(firsts, lambda x: F.struct(x["r"]["s"]["start"].alias("o"), x["r"]["k"]["i"].alias("i"), x["r"]["s"].alias("s"))))
+    return F.transform(order, lambda x: x["s"])
 
 
 def resolve_overlaps(spans: Column) -> Column:

@@ -145,7 +145,8 @@ def pii_policy_actions(spark, sf_dir):
     return rows.groupBy("label", "action").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("docs"), F.count_if(F.col("action") == "mask").alias("reviews"))
 
 
-GRID_LABELS = ["ssn", "EMAIL", "CARD_NUMBER", "first_name", "pin", "DIAGNOSIS", "url", "IBAN"]
+#: Every label that is known, and two that aren't.
+GRID_LABELS = sorted({x for name, labels in vars(V).items() if name.endswith("_LABELS") for x in labels} | {x for v in V.STRATEGIES.values() for x in v} | {"url", "no such label"})
 GRID_SCORES = [0.0, 0.49, 0.5, 0.6, 0.84, 0.85, 0.9, 1.0]
 
 
@@ -186,13 +187,18 @@ def pii_audit_vs_final(spark, sf_dir):
     return rows.select("doc_id", "entity_id", F.col("r.original").alias("audit_original"), F.col("final")[F.col("entity_id")]["original"].alias("final_original"), "r.pseudonym", "r.strategy")
 
 
-@query(f"""SELECT count(*) AS n_originals, CAST(0 AS BIGINT) AS n_leaks FROM ({SQL_ALL_SPANS}) WHERE label <> 'PHONE_NUMBER' AND length(value) >= 5""")
+@query(f"""WITH o AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, label, value AS original FROM ({SQL_ALL_SPANS}) WHERE length(value) >= 5 AND label <> 'PHONE_NUMBER'),
+f AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents)
+SELECT 'final' AS text_of, count(*) AS n_originals, CAST(0 AS BIGINT) AS n_leaks FROM o UNION ALL SELECT 'input', count(*), count(*) FILTER (contains(text, original)) FROM o JOIN f USING (doc_id)""")
 def pii_leak_check(spark, sf_dir):
-    """E-mails and cards that were found, and how many of them are still in the final text: none."""
-    originals = F.transform("entities", lambda e: F.struct(e["label"].alias("label"), F.col("replacements")[e["entity_id"]]["original"].alias("original")))
-    rows = _records(spark, sf_dir).select("anonymized_text", F.explode(originals).alias("x")).select("anonymized_text", "x.*")
-    worth = rows.where((F.col("label") != "PHONE_NUMBER") & (F.length("original") >= 5))
-    return worth.agg(F.count("*").alias("n_originals"), F.count_if(F.contains("anonymized_text", "original")).alias("n_leaks"))
+    """E-mails and cards that were found, and how many of them still stand in the final text and, as a control, in the input."""
+    records = _records(spark, sf_dir)
+    found = F.transform("entities", lambda e: F.struct(e["label"].alias("label"), F.col("replacements")[e["entity_id"]]["original"].alias("original")))
+    originals = records.select("doc_id", F.explode(found).alias("x")).select("doc_id", "x.*")
+    texts = {"final": records, "input": table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").alias("anonymized_text"))}
+    worth = originals.where((F.length("original") >= 5) & F.col("label").isin("EMAIL", "CARD_NUMBER")).agg(F.count("*").alias("n_originals"))
+    counts = [worth.crossJoin(C.leaks(df, originals).agg(F.count("*").alias("n_leaks"))).select(F.lit(name).alias("text_of"), "n_originals", "n_leaks") for name, df in texts.items()]
+    return counts[0].unionByName(counts[1])
 
 
 NAME_CATEGORIES = ["first_name", "ADDRESS", "DATE", "email", "COMPANY", "DIAGNOSIS", "url"]
@@ -289,9 +295,9 @@ def eval_top_labels_other(spark, sf_dir):
 
 
 @query("""SELECT count(*) FILTER (a AND b) AS docs_matched, count(*) FILTER (a AND NOT b) AS docs_gt_only, count(*) FILTER (b AND NOT a) AS docs_pred_only FROM (
-  SELECT doc_id, bool_or(s = 1) AS a, bool_or(s = 2) AS b FROM (SELECT doc_id, 1 AS s FROM documents WHERE doc_id % 3 > 0 UNION ALL SELECT doc_id, 2 FROM labels) GROUP BY doc_id)""")
+  SELECT doc_id, bool_or(s = 1) AS a, bool_or(s = 2) AS b FROM (SELECT doc_id, 1 AS s FROM documents UNION ALL SELECT doc_id, 2 FROM labels) GROUP BY doc_id)""")
 def eval_doc_overlap(spark, sf_dir):
-    return M.document_overlap(table(spark, sf_dir, "documents").where("doc_id % 3 > 0"), table(spark, sf_dir, "labels"))
+    return M.document_overlap(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 # ---- sampling, duplicates
@@ -362,18 +368,33 @@ def bioes_decode(spark, sf_dir):
     return rows.select("doc_id", "label", "start", "end", F.round("score", 6).alias("score"))
 
 
-@query("""SELECT doc_id, label, CAST(s AS INTEGER) AS "start", CAST(e AS INTEGER) AS "end", CAST(p AS DOUBLE) AS score FROM (
-  SELECT doc_id, 'a' AS label, 0 AS s, 10 AS e, 0.5 + (doc_id % 5) / 20 AS p FROM documents
-  UNION ALL SELECT doc_id, 'b', 5, 12, 0.7 FROM documents
-  UNION ALL SELECT doc_id, 'b', CASE WHEN doc_id % 5 > 2 THEN 25 ELSE 20 END, CASE WHEN doc_id % 5 > 2 THEN 35 ELSE 30 END, CASE WHEN doc_id % 5 > 2 THEN 0.6 + (doc_id % 5) / 20 ELSE 0.7 END FROM documents)""")
+# spans for merging: each word, 1 to 4 words long and labelled by its length, with a score of its first letters
+SQL_CHUNKS = f"""SELECT doc_id, len(value) % 2 AS g, "start" AS s, "end" + 4 * (i % 4) AS e, (ascii(value) * 7 + len(value) * 3 + i) % 10 / 10 AS p, i
+FROM ({sql_spans(r"[^ ]+", "T", 1.0, source="SELECT item_id AS doc_id, regexp_replace(text, '[\\n\\r\\t\\f\\v]', ' ', 'g') AS text FROM benchmark")})"""
+
+
+@query(f"""WITH RECURSIVE c AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY s, e, i) AS k FROM ({SQL_CHUNKS})),
+r AS (
+  SELECT doc_id, k, g, s, e, p, k AS id FROM c WHERE k = 1
+  UNION ALL
+  SELECT c.doc_id, c.k, w.g, w.s, w.e, w.p, w.id FROM r JOIN c ON c.doc_id = r.doc_id AND c.k = r.k + 1, LATERAL (SELECT
+    r.g = c.g AND r.s < c.e AND c.s < r.e AS meet,
+    CASE WHEN r.s = c.s AND r.e = c.e THEN c.p > r.p WHEN r.s <= c.s AND r.e >= c.e THEN false WHEN c.s <= r.s AND c.e >= r.e THEN true ELSE c.p > r.p END AS better) m,
+    LATERAL (SELECT CASE WHEN meet AND NOT better THEN r.g ELSE c.g END AS g, CASE WHEN meet AND NOT better THEN r.s ELSE c.s END AS s, CASE WHEN meet AND NOT better THEN r.e ELSE c.e END AS e,
+      CASE WHEN meet AND NOT better THEN r.p ELSE c.p END AS p, CASE WHEN meet THEN r.id ELSE c.k END AS id) w)
+SELECT doc_id, CASE g WHEN 0 THEN 'a' ELSE 'b' END AS label, CAST(s AS INTEGER) AS "start", CAST(e AS INTEGER) AS "end", CAST(p AS DOUBLE) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, id ORDER BY k DESC) AS last FROM r) WHERE last = 1""")
 def chunk_merge(spark, sf_dir):
-    """Two windows with a contained, a foreign, an equal and a partly overlapping span."""
-    d = F.col("doc_id")
-    span = lambda label, a, b, p: F.struct(F.lit(label).alias("label"), F.lit(a).alias("start"), F.lit(b).alias("end"), p.cast("double").alias("score"))
-    first = F.array(span("a", 0, 10, F.lit(0.5)), span("b", 5, 12, F.lit(0.7)), span("b", 20, 30, F.lit(0.7)))
-    second = F.array(span("a", 0, 10, 0.5 + (d % 5) / 20.0), span("a", 2, 8, F.lit(0.99)), span("b", 25, 35, 0.6 + (d % 5) / 20.0))
-    # the contained span would end the run of "a", so it comes before "b" by its start
-    return table(spark, sf_dir, "documents").select("doc_id", F.inline(S.merge_spans(F.concat(first, second))))
+    """Spans of the benchmark's words, stretched so that they contain and overlap each other, merged."""
+    docs = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), F.regexp_replace("text", r"[\n\r\t\f\x0B]", " ").alias("text"))
+    rows = docs.withColumn("o", _token_spans(F.col("text")))
+
+    def stretched(o, i):
+        word = T.span_text(F.col("text"), o)
+        score = ((F.ascii(word) * 7 + F.length(word) * 3 + i + 1) % 10) / F.lit(10.0)
+        return F.struct(F.when(F.length(word) % 2 == 0, "a").otherwise("b").alias("label"), o["start"].alias("start"), (o["end"] + 4 * ((i + 1) % 4)).cast("int").alias("end"), score.alias("score"))
+
+    return rows.select("doc_id", F.inline(S.merge_spans(F.transform("o", stretched))))
 
 
 # ---- the guard: conversations, with a phrase put before some of them, and a hash for a score
@@ -617,6 +638,19 @@ def review_merge(spark, sf_dir):
     return review.merge(stage1, stage2, code)
 
 
+@query(f"""SELECT a.unique_id, c.code, coalesce(b.verdict, a.verdict) AS verdict, coalesce(b.cwe_id, '') AS cwe_id, coalesce(b.mechanism, '') AS mechanism, coalesce(b.fixed_code, '') AS fixed_code, coalesce(b.justification, '') AS justification
+FROM (SELECT conv_id AS unique_id, v1 AS verdict FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS last FROM conversations) JOIN {SQL_SAID} ON k = (conv_id + turn) % {len(REPLIES)} WHERE last = 1) a
+JOIN (SELECT conv_id AS unique_id, arg_max(text, turn) AS code FROM conversations GROUP BY conv_id) c USING (unique_id)
+LEFT JOIN (SELECT conv_id AS unique_id, {SQL_DOWNGRADED} FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS last FROM conversations WHERE turn % 3 > 0) JOIN {SQL_SAID} ON k = (conv_id + turn + 3) % {len(REPLIES)} WHERE last = 1) b USING (unique_id)""")
+def review_merge_last_wins(spark, sf_dir):
+    """Conversations as files of replies: every turn is a line, an id stands on many, and the last one counts on each side."""
+    lines = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("unique_id"), F.col("turn").alias("line"), F.col("text").alias("code"))
+    reply = lambda shift: F.get(F.array(*[F.lit(r) for r in REPLIES]), ((F.col("unique_id") + F.col("line") + shift) % len(REPLIES)).cast("int"))
+    stage1 = lines.select("unique_id", "line", R.triage_reply(reply(0)).alias("r")).select("unique_id", "line", "r.*")
+    parsed = lines.where("line % 3 > 0").select("unique_id", "line", R.analysis_reply(reply(3)).alias("r")).select("unique_id", "line", "r.*")
+    return review.merge(stage1, review.downgrade(parsed, _known(spark)), lines)
+
+
 @query(f"SELECT 1 AS stage, verdict, count(*) AS n FROM ({SQL_STAGE1}) GROUP BY verdict UNION ALL SELECT 2, verdict, count(*) FROM ({SQL_STAGE2}) GROUP BY verdict")
 def review_verdict_counts(spark, sf_dir):
     _, stage1, stage2 = _stages(spark, sf_dir)

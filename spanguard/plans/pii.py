@@ -82,14 +82,16 @@ def with_locale(docs: DataFrame, locale: str = "ru") -> DataFrame:
 
 
 def anonymize(docs: DataFrame, settings: PiiSettings = PiiSettings(), tagger: Tagger | None = None, normalizer=None, row_id: Column | None = None) -> DataFrame:
-    """Records of the audit artifact. Documents without text get an error record.
+    """Records of the audit artifact. Documents without text, or that the model failed on, get an error record.
 
     Input columns: uid or doc_id, text, and optionally document_type and locale.
     """
     docs = with_locale(docs)
     docs = docs.withColumn("doc_id", resolved_id(docs, F.monotonically_increasing_id() if row_id is None else row_id))
     docs = decide(detect(docs, settings, tagger), settings, normalizer)
-    accepted, bad = F.coalesce(F.col("accepted"), F.array().cast(docs.schema["accepted"].dataType)), F.col("text").isNull()
+    none = F.array().cast(docs.schema["accepted"].dataType)
+    bad = F.col("text").isNull() | (F.coalesce("model_error", F.lit(False)) if "model_error" in docs.columns else F.lit(False))
+    accepted = F.when(bad, none).otherwise(F.coalesce(F.col("accepted"), none))
     pairs = F.transform(accepted, lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end"), e["pseudonym"].alias("text")))
     entities = F.transform(accepted, lambda e: F.struct(e["entity_id"].alias("entity_id"), e["label"].alias("label"), e["start"].alias("start"), e["end"].alias("end"), e["score"].alias("score"), e["needs_review"].alias("needs_review")))
     entries = F.transform(accepted, lambda e: F.struct(e["entity_id"].alias("key"), F.struct(e["original"].alias("original"), e["pseudonym"].alias("pseudonym"), e["strategy"].alias("strategy")).alias("value")))

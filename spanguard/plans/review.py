@@ -46,15 +46,20 @@ def downgrade(analysis: DataFrame, known: DataFrame) -> DataFrame:
     checked = check_cwe(analysis, known)
     bad = ~F.col("parse_error") & (F.col("verdict") == "vulnerable") & (F.col("cwe_id") != "") & (F.col("cwe_reason") != "")
     out = checked.withColumn("invalid_cwe_id", F.when(bad, F.lit(True))).withColumn("cwe_invalid_reason", F.when(bad, F.col("cwe_reason"))).withColumn("verdict", F.when(bad, "uncertain").otherwise(F.col("verdict")))
-    return out.select("unique_id", "verdict", *DETAILS, "parse_error", "invalid_cwe_id", "cwe_invalid_reason")
+    return out.select(*analysis.columns, "invalid_cwe_id", "cwe_invalid_reason")
 
 
-def merge(stage1: DataFrame, stage2: DataFrame, code: DataFrame, order: str | None = None) -> DataFrame:
+def latest(stage: DataFrame, order: str = "line") -> DataFrame:
+    """The last row of each id."""
+    return keep_last(stage, "unique_id", order).drop(order)
+
+
+def merge(stage1: DataFrame, stage2: DataFrame, code: DataFrame, order: str = "line") -> DataFrame:
     """One row for each id of stage 1: the analysis where there is one, else the triage's verdict.
 
-    With ``order`` the last row of an id wins on each side.
+    The last row of an id by ``order`` wins on each side; a side without that column has an id once.
     """
-    s1, s2, c = (keep_last(df, "unique_id", order) if order and order in df.columns else df for df in (stage1, stage2, code))
+    s1, s2, c = (keep_last(df, "unique_id", order) if order in df.columns else df for df in (stage1, stage2, code))
     b = s2.select("unique_id", F.lit(True).alias("_there"), F.col("verdict").alias("_verdict"), *DETAILS)
     joined = s1.select("unique_id", F.col("verdict").alias("_first")).join(b, "unique_id", "left").join(c.select("unique_id", "code"), "unique_id", "left")
     return joined.select("unique_id", F.coalesce("code", F.lit("")).alias("code"), F.when(F.col("_there"), F.coalesce("_verdict", "_first")).otherwise(F.col("_first")).alias("verdict"), *[F.coalesce(d, F.lit("")).alias(d) for d in DETAILS])

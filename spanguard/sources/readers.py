@@ -19,6 +19,20 @@ STAGE1 = "unique_id long, verdict string, parse_error boolean"
 STAGE2 = "unique_id long, verdict string, cwe_id string, mechanism string, fixed_code string, justification string, parse_error boolean, invalid_cwe_id boolean, cwe_invalid_reason string"
 
 
+def in_line_order(df: DataFrame, name: str = "line") -> DataFrame:
+    """Adds where a row of a text file stands: its file, its split's first byte and its place in that.
+
+    Row numbers alone would follow how Spark packs splits into tasks, largest files first.
+    """
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    return df.select("*", place.alias(name))
+
+
+def read_stage(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stage's lines with their ``line``; of the lines of an id the last one counts."""
+    return in_line_order(read_jsonl(spark, path, schema))
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One object a line; blank lines are skipped, a bad one is an error."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
@@ -57,16 +71,15 @@ def gold_spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def predicted_spans(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, labels of a JSONL of records; the last line of a document wins, no entities are none."""
-    rows = read_jsonl(spark, path, PREDICTIONS).select("*", F.monotonically_increasing_id().alias("line"))
-    last = keep_last(rows, "doc_id", "line")
+    last = keep_last(in_line_order(read_jsonl(spark, path, PREDICTIONS)), "doc_id", "line")
     return last.select("doc_id", F.coalesce(F.transform("entities", lambda e: e["label"]), F.array().cast("array<string>")).alias("labels"))
 
 
 def read_code(spark: SparkSession, path: str) -> DataFrame:
     """unique_id, code of a CSV with quoted line ends: rows with code, the first of each id."""
     rows = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').schema("unique_id long, code string").csv(path)
-    rows = rows.where(~F.coalesce(F.col("code").isin("NA", "N/A", "null", "NULL", "NaN", "nan", "None"), F.lit(False)))
-    return keep_first(not_blank(rows.select("*", F.monotonically_increasing_id().alias("row_id")), "code"), "unique_id", "row_id").drop("row_id")
+    rows = in_line_order(rows, "row_id").where(~F.coalesce(F.col("code").isin(*V.MISSING), F.lit(False)))
+    return keep_first(not_blank(rows, "code"), "unique_id", "row_id").drop("row_id")
 
 
 def read_cwe(spark: SparkSession, path: str) -> DataFrame:

@@ -1,10 +1,16 @@
-"""Writers: JSON lines, CSV, one small JSON file, and spreadsheets where a writer for them is installed."""
+"""Writers: JSON lines, CSV, and small results as one JSON file, a spreadsheet or Markdown."""
 
 from __future__ import annotations
 
 import json
-
-from pyspark.sql import DataFrame
+import math
+import re
+import tempfile
+import zipfile
+from xml.etree import ElementTree
+from xml.sax.saxutils import escape
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
@@ -19,11 +25,11 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_json_array(df: DataFrame, path: str) -> int:
     """A small result as one indented JSON array; larger ones are an error, as JSON lines are meant for them."""
-    rows = df.limit(DRIVER_ROWS + 1).toJSON().collect()
+    nulls = {"ignoreNullFields": "false"}
+    rows = [r[0] for r in df.limit(DRIVER_ROWS + 1).select(F.to_json(F.struct(*df.columns), nulls)).collect()]
     if len(rows) > DRIVER_ROWS:
         raise ValueError(f"more than {DRIVER_ROWS} rows: write JSON lines instead")
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump([json.loads(r) for r in rows], f, ensure_ascii=False, indent=2)
+    write_json(df.sparkSession, [json.loads(r) for r in rows], path)
     return len(rows)
 
 
@@ -37,23 +43,91 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     flat(df).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
+_SHEET = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+_OFFICE = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+_PACKAGE = "http://schemas.openxmlformats.org/package/2006"
+_HEAD = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+#: The parts of a workbook with one sheet, but for the sheet.
+_PARTS = {
+    "[Content_Types].xml": f'<Types xmlns="{_PACKAGE}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/>'
+    '<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>',
+    "_rels/.rels": f'<Relationships xmlns="{_PACKAGE}/relationships"><Relationship Id="rId1" Type="{_OFFICE}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
+    "xl/workbook.xml": f'<workbook xmlns="{_SHEET}" xmlns:r="{_OFFICE}"><sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>',
+    "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{_PACKAGE}/relationships"><Relationship Id="rId1" Type="{_OFFICE}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
+}
+_NO_XML = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]|_(?=x[0-9A-Fa-f]{4}_)")
+
+
+def _cell(value) -> str:
+    if value is None:
+        return "<c/>"
+    if isinstance(value, bool):
+        return f'<c t="b"><v>{int(value)}</v></c>'
+    if isinstance(value, (int, float)) and math.isfinite(value):
+        return f"<c><v>{value!r}</v></c>"
+    # characters that XML can't hold are written by their numbers, as workbooks do
+    text = escape(_NO_XML.sub(lambda m: f"_x{ord(m[0]):04X}_", str(value)))
+    return f'<c t="inlineStr"><is><t xml:space="preserve">{text}</t></is></c>'
+
+
 def write_spreadsheet(df: DataFrame, path: str) -> str:
-    """A workbook with the sheet Sheet1 if openpyxl is installed, else CSV beside it; returns what was written."""
-    rows = flat(df).limit(DRIVER_ROWS + 1).toPandas()
-    if len(rows) > DRIVER_ROWS:
-        raise ValueError(f"more than {DRIVER_ROWS} rows: write CSV instead")
-    try:
-        import openpyxl  # noqa: F401
-    except ModuleNotFoundError:
-        path = path.removesuffix(".xlsx") + ".csv"
-        rows.to_csv(path, index=False, encoding="utf-8")
-        return path
-    rows.to_excel(path, index=False, engine="openpyxl")
+    """A workbook with the sheet Sheet1: the columns' names, then a row for each row. Returns its path.
+
+    Cells hold whole texts. Rows are streamed to the driver; more than ``DRIVER_ROWS`` are an
+    error, as CSV is meant for them. The path may be in any file system that Spark knows.
+    """
+    rows = flat(df).limit(DRIVER_ROWS + 1)
+    with tempfile.TemporaryDirectory() as at:
+        own = f"{at}/book.xlsx"
+        with zipfile.ZipFile(own, "w", zipfile.ZIP_DEFLATED) as z:
+            for name, text in _PARTS.items():
+                z.writestr(name, _HEAD + text)
+            with z.open("xl/worksheets/sheet1.xml", "w", force_zip64=True) as f:
+                f.write(f'{_HEAD}<worksheet xmlns="{_SHEET}"><sheetData><row>{"".join(map(_cell, df.columns))}</row>'.encode())
+                for n, row in enumerate(rows.toLocalIterator()):
+                    if n == DRIVER_ROWS:
+                        raise ValueError(f"more than {DRIVER_ROWS} rows: write CSV instead")
+                    f.write(f"<row>{''.join(map(_cell, row))}</row>".encode())
+                f.write(b"</sheetData></worksheet>")
+        put_file(df.sparkSession, own, path)
     return path
 
 
+def read_spreadsheet(path: str) -> list[dict]:
+    """The rows of a workbook of ``write_spreadsheet``, by column; texts, numbers and booleans."""
+    with zipfile.ZipFile(path) as z:
+        sheet = ElementTree.fromstring(z.read("xl/worksheets/sheet1.xml"))
+
+    def value(c):
+        if c.get("t") == "inlineStr":
+            return re.sub("_x([0-9A-F]{4})_", lambda m: chr(int(m[1], 16)), c.findtext(f"{{{_SHEET}}}is/{{{_SHEET}}}t") or "")
+        v = c.findtext(f"{{{_SHEET}}}v")
+        return None if v is None else bool(int(v)) if c.get("t") == "b" else float(v)
+
+    names, *rows = [[value(c) for c in row] for row in sheet.iter(f"{{{_SHEET}}}row")]
+    return [dict(zip(names, r)) for r in rows]
+
+
+def put_file(spark: SparkSession, own: str, path: str) -> None:
+    """Copy a file of the driver's to where ``path`` says, in any file system that Spark knows."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    fs.copyFromLocalFile(False, True, jvm.org.apache.hadoop.fs.Path(f"file://{own}"), at)
+
+
+def write_json(spark: SparkSession, value, path: str) -> None:
+    """One small value as an indented JSON file."""
+    with tempfile.TemporaryDirectory() as at:
+        with open(f"{at}/value.json", "w", encoding="utf-8") as f:
+            json.dump(value, f, ensure_ascii=False, indent=2, default=str)
+        put_file(spark, f"{at}/value.json", path)
+
+
 def write_markdown(df: DataFrame, title: str) -> str:
-    """A small table as Markdown, for reports."""
-    rows = df.limit(1000).collect()
+    """A small table as Markdown, for reports; one of more than ``DRIVER_ROWS`` rows is an error."""
+    rows = df.limit(DRIVER_ROWS + 1).collect()
+    if len(rows) > DRIVER_ROWS:
+        raise ValueError(f"more than {DRIVER_ROWS} rows: no report")
     line = lambda cells: "| " + " | ".join(str(c) for c in cells) + " |"
     return "\n".join([f"## {title}", "", line(df.columns), line(["---"] * len(df.columns)), *(line(r) for r in rows), ""])
