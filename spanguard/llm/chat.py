@@ -21,6 +21,7 @@ import hashlib
 import re
 from bisect import bisect_left, bisect_right
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -74,17 +75,24 @@ def token_mask(offsets: list[tuple[int, int]], spans: list[tuple[int, int, bool]
     mask = [False] * len(offsets)
     for a, b, learned in spans:
         if learned and a < b:
-            for k in range(bisect_right(ends, a), bisect_left(starts, b)):
-                mask[k] = True
+            i, j = bisect_right(ends, a), bisect_left(starts, b)
+            mask[i:j] = [True] * (j - i)
     return mask
 
 
 def masked_text(formatted: str, offsets: list[tuple[int, int]], mask: list[bool], spans: list[tuple[int, int, bool]]) -> list[str]:
     """The text under the mask within each learned span, by the tokens' offsets."""
-    starts, out = [a for a, _ in offsets], []
+    at = np.array(offsets, np.int64).reshape(-1, 2)
+    begin, end, on = at[:, 0], at[:, 1], np.array(mask, bool)
+    starts, out = [], []
     for a, b, learned in spans:
         if not learned:
             continue
+        i, j = np.searchsorted(end, a, "right"), np.searchsorted(begin, b, "left")
+        if i < j and on[i:j].all() and (begin[i + 1 : j] <= end[i : j - 1]).all():  # no gap between the tokens
+            out.append(formatted[max(a, begin[i]) : min(b, end[j - 1])])
+            continue
+        starts = starts or [a for a, _ in offsets]
         parts, done = [], a
         k = max(0, bisect_right(starts, a) - 1)
         while k < len(offsets) and starts[k] < b:

@@ -162,17 +162,56 @@ def train(rows: list[tuple[str, str]]) -> ByteNet | None:
     return net
 
 
+#: Windows that go through the network together, whichever texts they are of.
+POOL = 1024
+
+
+def _sums(tables: dict, texts: list[bytes]):
+    """Sum of the logits and number of the windows of each text; no more than POOL windows are held."""
+    total, count = [], []
+    pool, owner = [], []
+
+    def run():
+        z = window_logits(tables, np.concatenate(pool)).astype(np.float64)
+        of = np.concatenate(owner)
+        first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        for i, s in zip(of[first].tolist(), np.add.reduceat(z, first)):
+            total[i] = total[i] + s
+
+    held = 0
+    for i, raw in enumerate(texts):
+        x = windows_of(raw)
+        total.append(0.0)
+        count.append(len(x))
+        for at in range(0, len(x), POOL):
+            part = x[at : at + POOL]
+            if held + len(part) > POOL:
+                run()
+                pool, owner, held = [], [], 0
+            pool.append(part)
+            owner.append(np.full(len(part), i))
+            held += len(part)
+    if pool:
+        run()
+    return total, count
+
+
+def predict_all(tables: dict | None, net: ByteNet | None, texts: list[str | None]) -> list[tuple[str, float]]:
+    """Language and score of each text, by batches of windows; a window's logits don't depend on its batch."""
+    out = [("und", 0.0)] * len(texts)
+    known = [i for i, t in enumerate(texts) if t and _LETTER.search(t)] if net else []
+    for i, total, n in zip(known, *_sums(tables, [texts[i].lower().encode() for i in known])):
+        z = total / n
+        p = np.exp(z - z.max())
+        p /= p.sum()
+        k = int(p.argmax())
+        out[i] = (net.languages[k], float(p[k]))
+    return out
+
+
 def predict(tables: dict | None, net: ByteNet | None, text: str | None) -> tuple[str, float]:
     """Language and score of one text."""
-    if net is None or not text or not _LETTER.search(text):
-        return "und", 0.0
-    x = windows_of(text.lower().encode())
-    # windows are summed in pieces, so a very long text needs no more memory than a piece
-    z = sum(window_logits(tables, x[at : at + 1024]).astype(np.float64).sum(0) for at in range(0, len(x), 1024)) / len(x)
-    p = np.exp(z - z.max())
-    p /= p.sum()
-    k = int(p.argmax())
-    return net.languages[k], float(p[k])
+    return predict_all(tables, net, [text])[0]
 
 
 def identify(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -183,7 +222,7 @@ def identify(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text_
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [predict(tables, net, t) for t in batch.column("text").to_pylist()]
+            found = predict_all(tables, net, batch.column("text").to_pylist())
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array([a for a, _ in found], pa.string()), pa.array([b for _, b in found], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
         return step
@@ -197,7 +236,7 @@ def keep_identified(docs: DataFrame, net: ByteNet | None, least: float = 0.5, id
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return batch.filter(pa.array([predict(tables, net, t)[1] >= least for t in batch.column(text_col).to_pylist()], pa.bool_()))
+            return batch.filter(pa.array([s >= least for _, s in predict_all(tables, net, batch.column(text_col).to_pylist())], pa.bool_()))
 
         return step
 

@@ -3,8 +3,8 @@
 The key of a record is the hash of its text, so equal texts are neighbours. A size-weighted
 sample of keys (bounded, whatever the input's size) gives quantile boundaries of many more
 ranges than shards; every record falls in one range. The ranges are then measured over all
-rows. A range that is overfull holds a text with very many copies: such texts become ranges of
-their own, which are subdivided by record id. Ranges are packed into shards, largest first, so
+rows, and overfull ones are subdivided at quantiles of their own keys. What stays overfull holds one
+text: with very many copies it becomes ranges of its own, which are subdivided by record id. Ranges are packed into shards, largest first, so
 that the bytes of the shards are near equal. Copies of a text share a shard unless the text
 alone fills more than nine tenths of one.
 
@@ -24,6 +24,8 @@ from .common import Scratch
 
 #: Sampled keys for each range; the sample has ranges * this many rows at most.
 SAMPLE_PER_RANGE = 16
+#: Parts that an overfull range is cut into at once.
+SUBDIVIDE = 4
 
 
 def _range_of(key, bounds: list[int]):
@@ -83,7 +85,16 @@ def shard(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col:
 
     # texts that overfill their range: no more than 2 * n_ranges can be so large
     most_bytes, most_rows = 2 * total / n_ranges, 2 * count / n_ranges
-    ranged = rows.withColumn("r", _range_of(F.col("h"), bounds))
+    # ranges that are overfull are subdivided at quantiles of their own keys, until none of several texts is
+    parts_of = [F.lit(i / SUBDIVIDE) for i in range(1, SUBDIVIDE)]
+    while True:
+        ranged = rows.withColumn("r", _range_of(F.col("h"), bounds))
+        full = ranged.groupBy("r").agg(F.sum("size").alias("b"), F.count("*").alias("n"), F.min("h").alias("lo"), F.percentile_approx("h", F.array(*parts_of), F.lit(1000)).alias("cuts"))
+        full = full.where(((F.col("b") > most_bytes) | (F.col("n") > most_rows))).collect()
+        finer = sorted(set(bounds) | {c for g in full for c in g.cuts if c > g.lo})
+        if len(finer) == len(bounds):
+            break
+        bounds = finer
     over = ranged.groupBy("r").agg(F.sum("size").alias("b"), F.count("*").alias("n")).where((F.col("b") > most_bytes) | (F.col("n") > most_rows))
     full = {r.r for r in over.collect()}
     heavy = []
