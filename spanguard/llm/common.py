@@ -34,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 #: Rows that a file of a scratch table holds at least, where the table's size is known before.
-FILE_ROWS, FILES = 200_000, 4
+FILE_ROWS = 500_000
 
 
 class Scratch:
@@ -57,14 +57,15 @@ class Scratch:
         """Write ``df`` and return what reads it back; ``rows_of`` knows its rows then.
 
         With a bound of its ``rows`` it is written in as few files as they fill: a small table in
-        hundreds of files costs more to open than to read.
+        hundreds of files costs more to open than to read, and local file systems start a process
+        for each file that is made. Not for what Python has just made: the last stage gets so many tasks.
         """
         self.made += 1
         path = f"{self.root}/{self.made}-{name}"
         seen = Observation()
         df = df.observe(seen, F.count(F.lit(1)).alias("n"))
         if rows is not None:
-            df = df.coalesce(max(FILES, -(-rows // FILE_ROWS)))
+            df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
         df.write.parquet(path)
         at, fs = self._path(self.root)
         fs.deleteOnExit(at)

@@ -21,8 +21,8 @@ def components(edges: DataFrame, scratch: Scratch, rows: int | None = None) -> D
         n = rows_of(at)
         both = at.unionByName(at.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = scratch.save(both.where("v > u").join(scratch.save(least, "least", 2 * n), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large", 2 * n)
-        least = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")), "least", 2 * n)
+        large = scratch.save(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large", 2 * n)
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         after = scratch.save(small.where("u <> v").distinct(), "edges", 2 * n)
         scratch.drop(at, large)

@@ -278,9 +278,9 @@ def _wide(phr: DataFrame, scratch: Scratch, length: int) -> DataFrame:
     left = words.join(scratch.save(cores, "cores", rows_of(words)), ["kh", "core"])
     at = (F.col("rep.lo") + F.col("k")).cast("int")
     single = left.select(F.col("rep"), "kh", ((F.col("m") == 1) & (F.col("rep.n") == 1)).alias("open"), F.posexplode("rep.w").alias("k", "f"))
-    single = scratch.save(single.select("rep.doc_id", "rep.th", at.alias("lo"), "kh", "f", "open"), "windows")
+    single = scratch.save(single.select("rep.doc_id", "rep.th", at.alias("lo"), "kh", "f", "open"), "windows", BLOCK * rows_of(words))
     once = single.groupBy("kh", "f").agg(F.count("*").alias("t"), F.min(F.struct("doc_id", "th", "lo")).alias("rep")).where("t = 1").select("rep.*")
-    open_ = _without(single.where("open"), scratch.save(once, "once"))
+    open_ = _without(single.where("open"), scratch.save(once, "once", rows_of(single)))
     return whole.unionByName(open_.select("doc_id", "th", "lo", F.col("lo").alias("hi")))
 
 
@@ -312,7 +312,7 @@ def repeated_spans(rows: DataFrame, scratch: Scratch, length: int = LENGTH, grou
     wanted = reps.groupBy("doc_id", "th").agg(F.collect_list(F.struct("lo", "hi", "off", "kh", "n", "large")).alias("wanted"))
     # a copy of a row would give its phrases again
     texts = rows.join(wanted, rows.doc_id.eqNullSafe(wanted.doc_id) & (rows.th == wanted.th)).select(rows.doc_id, rows.th, "text", "wanted")
-    phr = scratch.save(map_batches(texts, lambda: lambda b: _cut_phrases(b, length), "doc_id long, th long, lo int, hi int, off int, kh long, n long, large boolean, raw binary").dropDuplicates(["doc_id", "th", "lo"]), "phrases")
+    phr = scratch.save(map_batches(texts, lambda: lambda b: _cut_phrases(b, length), "doc_id long, th long, lo int, hi int, off int, kh long, n long, large boolean, raw binary").dropDuplicates(["doc_id", "th", "lo"]), "phrases", 10 * rows_of(words))
     local = _ranked(phr.where("not large"), length)
 
     wide = _wide(phr.where("large").repartition("doc_id", "lo"), scratch, length)

@@ -308,7 +308,7 @@ def count_links(grouped: DataFrame, scratch: Scratch, threshold: float) -> DataF
     parts = wide.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     members = scratch.save(wide.join(parts, "leaf").withColumn("cell", F.xxhash64("leaf", F.pmod(F.xxhash64("x", F.lit(4)), "parts"))).select("root", "cell", "x", "m", "v"), "members")
     centres = _blocks(members.select("cell", "m", "v")).join(members.select("cell", "root").distinct(), "cell")
-    centres = scratch.save(centres, "centres", rows_of(members))
+    centres = scratch.save(centres, "centres")
     many = centres.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     pairs = scratch.save(_block_pairs(_spread(centres.select("root", "cell", "least", "mass", "v"), "root", many), threshold), "block-pairs")
     sure = pairs.where("whole = 1")
