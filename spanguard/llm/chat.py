@@ -18,8 +18,9 @@ Conversations are streamed through sorted partitions, one at a time.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -69,22 +70,22 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return turns
 
 
-def token_mask(offsets: list[tuple[int, int]], spans: list[tuple[int, int, bool]]) -> list[bool]:
+def token_mask(offsets, spans: list[tuple[int, int, bool]]) -> np.ndarray:
     """Whether a token shares a character with a learned span; both lists are sorted."""
-    starts, ends = [a for a, _ in offsets], [b for _, b in offsets]
-    mask = [False] * len(offsets)
-    for a, b, learned in spans:
-        if learned and a < b:
-            i, j = bisect_right(ends, a), bisect_left(starts, b)
-            mask[i:j] = [True] * (j - i)
+    at = np.asarray(offsets, np.int64).reshape(-1, 2)
+    mask = np.zeros(len(at), bool)
+    learned = np.array([(a, b) for a, b, on in spans if on and a < b], np.int64).reshape(-1, 2)
+    first, stop = np.searchsorted(at[:, 1], learned[:, 0], "right"), np.searchsorted(at[:, 0], learned[:, 1], "left")
+    for i, j in zip(first.tolist(), stop.tolist()):
+        mask[i:j] = True
     return mask
 
 
-def masked_text(formatted: str, offsets: list[tuple[int, int]], mask: list[bool], spans: list[tuple[int, int, bool]]) -> list[str]:
+def masked_text(formatted: str, offsets, mask, spans: list[tuple[int, int, bool]]) -> list[str]:
     """The text under the mask within each learned span, by the tokens' offsets."""
-    at = np.array(offsets, np.int64).reshape(-1, 2)
-    begin, end, on = at[:, 0], at[:, 1], np.array(mask, bool)
-    starts, out = [], []
+    at = np.asarray(offsets, np.int64).reshape(-1, 2)
+    begin, end, on = np.ascontiguousarray(at[:, 0]), np.ascontiguousarray(at[:, 1]), np.asarray(mask, bool)
+    starts, ends, out = [], [], []
     for a, b, learned in spans:
         if not learned:
             continue
@@ -92,13 +93,13 @@ def masked_text(formatted: str, offsets: list[tuple[int, int]], mask: list[bool]
         if i < j and on[i:j].all() and (begin[i + 1 : j] <= end[i : j - 1]).all():  # no gap between the tokens
             out.append(formatted[max(a, begin[i]) : min(b, end[j - 1])])
             continue
-        starts = starts or [a for a, _ in offsets]
+        starts, ends = starts or begin.tolist(), ends or end.tolist()
         parts, done = [], a
         k = max(0, bisect_right(starts, a) - 1)
-        while k < len(offsets) and starts[k] < b:
-            if mask[k] and offsets[k][1] > done:  # the tokens of one character share its offsets
-                parts.append(formatted[max(done, starts[k]) : min(b, offsets[k][1])])
-                done = min(b, offsets[k][1])
+        while k < len(starts) and starts[k] < b:
+            if on[k] and ends[k] > done:  # the tokens of one character share its offsets
+                parts.append(formatted[max(done, starts[k]) : min(b, ends[k])])
+                done = min(b, ends[k])
             k += 1
         out.append("".join(parts))
     return out
@@ -114,6 +115,73 @@ def chat_tokenizer(definition: bytes):
     return t
 
 
+#: Splits a text before the merges, in byte-level definitions without a pattern of their own (fixed value).
+_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def _byte_ranks(definition: dict) -> dict[bytes, int] | None:
+    """The tokens' bytes and ids of a plain byte-level BPE whose ids follow its merges; None of any other kind."""
+    split, model = definition.get("pre_tokenizer") or {}, definition.get("model") or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and definition.get("normalizer") is None
+    if not plain or model.get("type") != "BPE" or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+        return None
+    # printable bytes stand for themselves, the others for the characters from 256 on
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
+    added = {t["content"] for t in definition.get("added_tokens", [])}
+    if any(not byte.keys() >= set(t) for t in model["vocab"] if t not in added):
+        return None
+    ranks = {bytes(byte[c] for c in t): i for t, i in model["vocab"].items() if t not in added}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [ranks.get(bytes(byte[c] for c in x + y)) for x, y in merges]
+    whole = len(ranks) == len(made) + 256 and None not in made and all(x < y for x, y in zip(made, made[1:])) and (not made or made[0] >= 256)
+    return ranks if whole else None
+
+
+class Encoder:
+    """Ids and character offsets of a formatted text.
+
+    A plain byte-level BPE goes by ``tiktoken``: its tokens' lengths in bytes add up to the offsets.
+    Any other definition goes by the ``tokenizers`` library, and so does a text with a run of white
+    space that is too long for the other's pattern; the results are the same.
+    """
+
+    def __init__(self, definition: bytes):
+        self.definition, self._library, self.fast = definition, None, None
+        ranks = _byte_ranks(json.loads(definition))
+        if ranks:
+            import tiktoken
+
+            known = self.library.get_vocab(with_added_tokens=True)
+            marks = {m: known[m] for m in (START, END)}
+            self.fast = tiktoken.Encoding("chat", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens=marks)
+            self.lengths = np.zeros(max(known.values()) + 1, np.int64)
+            for token, i in (ranks | {m.encode(): i for m, i in marks.items()}).items():
+                self.lengths[i] = len(token)
+
+    @property
+    def library(self):
+        if self._library is None:
+            self._library = chat_tokenizer(self.definition)
+        return self._library
+
+    def encode(self, text: str) -> tuple[list[int], np.ndarray]:
+        if self.fast:
+            try:
+                ids = self.fast.encode(text, allowed_special="all")
+            except ValueError:
+                pass
+            else:
+                sizes = self.lengths[ids]
+                end = np.cumsum(sizes)
+                if text.isascii():
+                    return ids, np.column_stack([end - sizes, end])
+                char = np.cumsum((np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80) - 1  # of each byte
+                return ids, np.column_stack([char[end - sizes], char[end - 1] + 1])
+        enc = self.library.encode(text, add_special_tokens=False)
+        return enc.ids, np.array(enc.offsets, np.int64).reshape(-1, 2)
+
+
 SCHEMA = "conv_id long, turns array<struct<role: string, text: string>>, formatted string, token_ids array<int>, loss_mask array<boolean>, loss_texts array<string>"
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
@@ -141,15 +209,15 @@ def format_conversations(rows: DataFrame, tokenizer: bytes, digests: bool = Fals
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=[f.split()[0] for f in re.sub("<.*?>+", "", schema).split(", ")])
 
     def run(batches):
-        t = chat_tokenizer(tokenizer)
+        encoder = Encoder(tokenizer)
 
         def finish(conv, turns):
             formatted, spans = render(turns)
-            enc = t.encode(formatted, add_special_tokens=False)
-            mask = token_mask(enc.offsets, spans)
-            texts = [unescape(x) for x in masked_text(formatted, enc.offsets, mask, spans)]
+            ids, offsets = encoder.encode(formatted)
+            mask = token_mask(offsets, spans)
+            texts = [unescape(x) for x in masked_text(formatted, offsets, mask, spans)]
             if not digests:
-                return conv, [{"role": r, "text": x} for r, x in turns], formatted, enc.ids, mask, texts
+                return conv, [{"role": r, "text": x} for r, x in turns], formatted, ids, mask.tolist(), texts
             back = parse(formatted)
             return conv, len(back), _sha(p for r, x in back for p in (r, "\n", x, "\n")), sum(map(len, texts)), _sha(texts), len(formatted)
 

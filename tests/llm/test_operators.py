@@ -4,14 +4,18 @@ import collections
 import hashlib
 import html
 import itertools
+import json
 import random
 import re
 import time
 import zlib
+from functools import cache
 
 import numpy as np
 import pytest
 import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tests.conftest import SF
 from pyspark.sql import functions as F
 
@@ -136,6 +140,34 @@ def test_chat_masks(spark):
     assert chat.format_conversations(df.limit(0), tokenizer).count() == 0
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \n\t<|>'s1é😀ع")), max_size=60))
+def test_encoder_as_the_library(text):
+    formatted, spans = chat.render([("user", text), ("assistant", text)])
+    encoder = _encoder()
+    enc = encoder.library.encode(formatted, add_special_tokens=False)
+    ids, offsets = encoder.encode(formatted)
+    assert encoder.fast and ids == enc.ids and offsets.tolist() == [list(x) for x in enc.offsets]
+    assert chat.masked_text(formatted, offsets, chat.token_mask(offsets, spans), spans) == [chat.escape(text)]
+
+
+@cache
+def _encoder():
+    return chat.Encoder(catalog.tokenizer_bytes("byte_bpe_50k.json"))
+
+
+def test_encoder_of_long_runs_and_other_definitions():
+    encoder = _encoder()
+    for text in (" " * 300_000 + "x", "x" * 300_000, "\n" * 300_000):
+        formatted, spans = chat.render([("assistant", text)])
+        ids, offsets = encoder.encode(formatted)
+        assert ids == encoder.library.encode(formatted, add_special_tokens=False).ids
+        assert chat.masked_text(formatted, offsets, chat.token_mask(offsets, spans), spans) == [text]
+    other = json.loads(catalog.tokenizer_bytes("byte_bpe_50k.json"))
+    other["normalizer"] = {"type": "Lowercase"}
+    assert chat.Encoder(json.dumps(other).encode()).fast is None
+
+
 # ---- quality
 
 
