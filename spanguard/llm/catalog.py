@@ -7,14 +7,21 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, mainhtml, neardup, pieces, quality, sharding, substrings, vectors
+from . import chat, clusters, decontaminate, infill, language, mainhtml, mixing, neardup, pieces, quality, sharding, substrings, vectors
 from .common import table
 
-TOKENIZERS = os.environ.get("SPANGUARD_TOKENIZERS", "/opt/tokenizers")
+#: Folder of vocabulary files; where unset, the package ``public_tokenizers`` tells each file's place.
+TOKENIZERS = os.environ.get("SPANGUARD_TOKENIZERS")
 
 
 def tokenizer_bytes(name: str) -> bytes:
-    with open(f"{TOKENIZERS}/{name}", "rb") as f:
+    if TOKENIZERS:
+        path = f"{TOKENIZERS}/{name}"
+    else:
+        import public_tokenizers
+
+        path = public_tokenizers.path(name)
+    with open(path, "rb") as f:
         return f.read()
 
 
@@ -62,7 +69,41 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece, op3_chat_format, op4_quality, op5_html_extraction, op6_decontaminate, op7_minhash_dedup, op8_suffix_dedup, op9_embedding_dedup, op10_language_id)}
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan_mix(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.fill_in_middle(table(spark, sf_dir, "documents"), digests=True)
+
+
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_sentencepiece, op3_chat_format, op4_quality, op5_html_extraction, op6_decontaminate, op7_minhash_dedup, op8_suffix_dedup, op9_embedding_dedup, op10_language_id, op11_mixing, op12_fill_in_middle, op13_clustering)}
+
+def _clustering_sql(rounds: int = 10) -> str:
+    """Rounds one after another: d<r> has every vector's nearest centroid of round r, c<r> those centroids' components."""
+    whole = "(s - (((s % n) + n) % n)) // n"
+    parts = [
+        "f AS (SELECT vec_id, embedding AS v FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        "e AS MATERIALIZED (SELECT vec_id, p, CAST(floor(1024 * CAST(v[p] AS DOUBLE)) AS BIGINT) AS x FROM f, range(1, 65) r(p))",
+        "o AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c FROM f QUALIFY c < 8)",
+        "c0 AS MATERIALIZED (SELECT c, p, x FROM o JOIN e USING (vec_id))",
+    ]
+    for r in range(rounds + 1):
+        parts.append(f"t{r} AS (SELECT vec_id, c, sum((e.x - c{r}.x) * (e.x - c{r}.x)) AS d FROM e JOIN c{r} USING (p) GROUP BY vec_id, c)")
+        parts.append(f"d{r} AS MATERIALIZED (SELECT vec_id, c, d FROM t{r} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1)")
+        if r < rounds:
+            parts.append(f"s{r} AS (SELECT c, p, CAST(sum(x) AS HUGEINT) AS s, count(*) AS n FROM d{r} JOIN e USING (vec_id) GROUP BY c, p)")
+            parts.append(f"c{r + 1} AS MATERIALIZED (SELECT c, p, CAST(CASE WHEN n IS NULL THEN x ELSE {whole} END AS BIGINT) AS x FROM c{r} LEFT JOIN s{r} USING (c, p))")
+    parts.append(f"h AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p)) AS centroid_sha256 FROM c{rounds} GROUP BY c)")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM d{rounds} JOIN h USING (c)"""
+
 
 ORACLE_SQL = {
     # all strings of 400 bytes (l: and of 200, for passages) as hexadecimal digits, two a byte
@@ -142,4 +183,33 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(length('<|im_start|>') + length(er) + 1 + length(et) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id""",
+    # targets in closed form: sources by words / weight; those before the first that its share doesn't exceed are bounded
+    "op11_mixing": r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    CAST('0x' || substr(md5('11:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(md5(text), '')), 1, 15) AS BIGINT) AS k FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS words, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source),
+o AS (
+  SELECT *, row_number() OVER w AS n, sum(words) OVER () - coalesce(sum(3 * words) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remaining,
+    sum(weight) OVER () - coalesce(sum(weight) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS weights
+  FROM s WINDOW w AS (ORDER BY words / weight, source)),
+f AS (SELECT remaining, weights, n FROM o WHERE 3 * words >= CAST(remaining AS DOUBLE) * weight / CAST(weights AS DOUBLE) ORDER BY n LIMIT 1),
+t AS (SELECT source, words, least(CAST(3 * words AS DOUBLE), CAST(f.remaining AS DOUBLE) * weight / CAST(f.weights AS DOUBLE)) AS target FROM o, f),
+b AS (SELECT *, CAST(floor(target) AS BIGINT) // greatest(words, 1) AS whole, CAST(floor(target) AS BIGINT) % greatest(words, 1) AS rest FROM t),
+g AS (SELECT source, k, CAST(sum(size) AS BIGINT) AS w FROM d GROUP BY source, k),
+p AS (SELECT source, k, w, CAST(sum(w) OVER (PARTITION BY source ORDER BY k) AS BIGINT) - w AS before FROM g)
+SELECT doc_id, CAST(size AS BIGINT) AS size, words AS source_size, target, d.source,
+  CAST(whole * size + CASE WHEN before + w <= rest THEN size WHEN before <= rest THEN (2 * size * (rest - before) + w) // (2 * greatest(w, 1)) ELSE 0 END AS BIGINT) AS taken
+FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source JOIN p ON d.source IS NOT DISTINCT FROM p.source AND d.k = p.k""",
+    "op12_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (SELECT *, CAST('0x' || substr(x, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(x, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(x, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(x, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p""",
+    "op13_clustering": _clustering_sql(),
 }

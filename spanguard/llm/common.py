@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanguard.session import ship
@@ -98,6 +98,19 @@ class Scratch:
             fs.delete(at, True)
 
 
+def numbered(scratch: Scratch, df: DataFrame, order: list, name: str, rows: int) -> DataFrame:
+    """``df`` with ``nth``, gapless from 0 in ``order``: sorted by ranges, whose counts are summed up; no task holds all rows."""
+    parts = max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // FILE_ROWS)))
+    ranged = scratch.save(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), name)
+    ahead, sums = [], 0
+    for r in ranged.groupBy("_part").count().orderBy("_part").collect():  # a row for each partition
+        ahead.append((r["_part"], sums))
+        sums += r["count"]
+    first = F.broadcast(df.sparkSession.createDataFrame(ahead, "_part int, _ahead long"))
+    nth = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    return ranged.join(first, "_part").withColumn("nth", nth + F.col("_ahead")).drop("_part", "_ahead")
+
+
 def rows_of(saved: DataFrame) -> int:
     """Rows of a table that ``Scratch.save`` has written."""
     return saved._spanguard_rows
