@@ -9,6 +9,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from ..functions import fixed_values as V
 from ..functions.text import SPAN_TYPE, card_spans, email_spans, phone_spans
+from .fuzzy import cluster_forms
 
 
 def regex_spans(text: Column, existing: Column | None = None) -> Column:
@@ -122,39 +123,14 @@ def resolve_overlaps(spans: Column) -> Column:
     return sort_by_start(kept)
 
 
-def _ratio(a: str, b: str) -> float:
-    """Twice the longest common subsequence over both lengths, of the words in sorted order."""
-    a, b = " ".join(sorted(a.split())), " ".join(sorted(b.split()))
-    if not a or not b:
-        return float(not a and not b)
-    # a row of the table as bits: those that are 0 are where the length grows
-    at: dict[str, int] = {}
-    for i, ch in enumerate(b):
-        at[ch] = at.get(ch, 0) | 1 << i
-    row = full = (1 << len(b)) - 1
-    for ch in a:
-        u = row & at.get(ch, 0)
-        row = (row + u | row - u) & full
-    return 2 * (len(b) - row.bit_count()) / (len(a) + len(b))
-
-
 def fuzzy_clusters(threshold: float = 0.8):
-    """A column function: the first name before it that is similar enough, or itself, for each of an array of names."""
+    """A column function: the first leader that is similar enough, or itself, for each of an array of names; see ``fuzzy`` for tables."""
 
     @F.pandas_udf(ArrayType(StringType()))
     def cluster(names: pd.Series, normalized: pd.Series) -> pd.Series:
         def one(values, norms):
-            reps, out = [], {}
-            for v, n in zip(values, norms):
-                found = next((r for r, m in reps if _ratio(n, m) >= threshold), None)
-                if found is None:
-                    reps.append((v, n))
-                    found = v
-                out[v] = found
-            return [out[v] for v in values]
+            return [values[i] for i in cluster_forms([" ".join(sorted(n.split())) for n in norms], threshold)]
 
         return pd.Series([None if v is None else one(list(v), list(n)) for v, n in zip(names, normalized)])
 
     return cluster
-
-

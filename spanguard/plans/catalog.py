@@ -9,6 +9,7 @@ from ..functions import fixed_values as V
 from ..functions import guard as G
 from ..functions import replies as R
 from ..functions import text as T
+from ..operators import fuzzy
 from ..operators import metrics as M
 from ..operators import spans as S
 from ..operators import tables as B
@@ -694,9 +695,7 @@ def parse_span_literals(spark, sf_dir):
 def fuzzy_name_clusters(spark, sf_dir):
     """Names of each nation's customers, spelt in three ways, and what they are clustered under."""
     rows = table(spark, sf_dir, "customer").withColumn("name", F.explode(F.array(F.col("c_name"), F.concat(F.col("c_mktsegment"), F.lit(" "), F.col("c_name")), F.concat(F.col("c_name"), F.lit(" "), F.col("c_mktsegment")))))
-    names = rows.groupBy("c_nationkey").agg(F.sort_array(F.collect_set("name")).alias("names"))
-    found = S.fuzzy_clusters(0.8)(F.col("names"), F.transform("names", T.normalize_ascii))
-    return names.select("c_nationkey", F.explode(F.arrays_zip("names", found.alias("cluster"))).alias("x")).select("c_nationkey", F.col("x.names").alias("name"), F.col("x.cluster").alias("cluster"))
+    return fuzzy.fuzzy_name_clusters(rows, "c_nationkey", "name")
 
 
 @query("SELECT event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n FROM events GROUP BY ALL")
