@@ -106,26 +106,20 @@ FROM d{rounds} JOIN h USING (c)"""
 
 
 ORACLE_SQL = {
-    # all strings of 400 bytes (l: and of 200, for passages) as hexadecimal digits, two a byte
+    # all strings of 400 bytes as hexadecimal digits, two a byte
     "op8_suffix_dedup": r"""
 WITH n AS (SELECT row_number() OVER () AS k, doc_id, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS x FROM documents),
-p AS (SELECT k, l, x, unnest(range(1, n - l + 2)) AS p FROM n, (VALUES (200), (400)) v(l) WHERE n >= l),
-w AS MATERIALIZED (SELECT k, l, p, md5(substr(x, 2 * p - 1, 2 * l)) AS h FROM p),
-r AS (SELECT k, l, p FROM w SEMI JOIN (SELECT l, h FROM w GROUP BY l, h HAVING count(*) > 1) USING (l, h)),
-s AS (SELECT k, l, p, CASE WHEN p <= lag(p) OVER (PARTITION BY k, l ORDER BY p) + l THEN 0 ELSE 1 END AS fresh FROM r),
-g AS (SELECT k, l, p, sum(fresh) OVER (PARTITION BY k, l ORDER BY p) AS g FROM s),
-e AS (SELECT k, l, min(p) AS a, max(p) + l AS z FROM g GROUP BY k, l, g),
-o AS (SELECT k, a, z, lag(z, 1, 1) OVER (PARTITION BY k ORDER BY a) AS before FROM e WHERE l = 400),
-t AS (SELECT k, sum(z - a) AS removed, count(*) AS spans, max(z) AS last, string_agg(substr(x, 2 * before - 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM o JOIN n USING (k) GROUP BY k),
-c AS (
-  SELECT k, len(regexp_extract_all(regexp_replace(substr(x, 2 * a - 1, 2 * (z - a)), '(..)', '\1 ', 'g'), '(?:(?:[13-9A-F][0-9A-F]|2[1-9A-F]|0[0-8EF]) )+'))
-    - CASE WHEN a > 1 AND substr(x, 2 * a - 3, 2) NOT IN ('20', '09', '0A', '0B', '0C', '0D') AND substr(x, 2 * a - 1, 2) NOT IN ('20', '09', '0A', '0B', '0C', '0D') THEN 1 ELSE 0 END
-    - CASE WHEN z <= n AND substr(x, 2 * z - 3, 2) NOT IN ('20', '09', '0A', '0B', '0C', '0D') AND substr(x, 2 * z - 1, 2) NOT IN ('20', '09', '0A', '0B', '0C', '0D') THEN 1 ELSE 0 END AS words
-  FROM e JOIN n USING (k) WHERE l = 200),
-q AS (SELECT k, count(*) AS passages FROM c WHERE words > 50 GROUP BY k)
+p AS (SELECT k, x, unnest(range(1, n - 398)) AS p FROM n WHERE n >= 400),
+w AS MATERIALIZED (SELECT k, p, md5(substr(x, 2 * p - 1, 800)) AS h FROM p),
+r AS (SELECT k, p FROM w SEMI JOIN (SELECT h FROM w GROUP BY h HAVING count(*) > 1) USING (h)),
+s AS (SELECT k, p, CASE WHEN p <= lag(p) OVER (PARTITION BY k ORDER BY p) + 400 THEN 0 ELSE 1 END AS fresh FROM r),
+g AS (SELECT k, p, sum(fresh) OVER (PARTITION BY k ORDER BY p) AS g FROM s),
+e AS (SELECT k, min(p) AS a, max(p) + 400 AS z FROM g GROUP BY k, g),
+o AS (SELECT k, a, z, lag(z, 1, 1) OVER (PARTITION BY k ORDER BY a) AS before FROM e),
+t AS (SELECT k, sum(z - a) AS removed, count(*) AS spans, max(z) AS last, string_agg(substr(x, 2 * before - 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM o JOIN n USING (k) GROUP BY k)
 SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
-  sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(last, 1) - 1))) AS kept_sha256, coalesce(passages, 0) AS n_passages
-FROM n LEFT JOIN t USING (k) LEFT JOIN q USING (k)""",
+  sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(last, 1) - 1))) AS kept_sha256
+FROM n LEFT JOIN t USING (k)""",
     "op9_embedding_dedup": r"""
 WITH RECURSIVE x AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 f AS (SELECT * FROM x WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(v, lambda e: e <> 0)) > 0),

@@ -16,7 +16,6 @@ equal results; without training documents every text is ``und``; other columns a
 
 from __future__ import annotations
 
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,11 @@ WINDOW, FILTERS, WIDTHS, EMBED = 256, 8, (2, 3, 4), 8
 #: Bounds of training: documents of each language, languages, windows of one document.
 TRAIN_DOCS, MAX_LANGUAGES, TRAIN_WINDOWS = 600, 200, 6
 EPOCHS, RATE, SEED = 12, 0.01, 7
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; numerals of any kind (a half, a superscript, a Roman numeral) aren't."""
+    return any(map(str.isalpha, text))
 
 
 def windows_of(raw: bytes) -> np.ndarray:
@@ -149,7 +152,7 @@ def train(rows: list[tuple[str, str]]) -> ByteNet | None:
         return None
     r, xs, ys = np.random.default_rng(SEED), [], []
     for g, text in rows:
-        if not _LETTER.search(text):
+        if not has_letter(text):
             continue
         x = windows_of(text.lower().encode())
         if len(x) > TRAIN_WINDOWS:
@@ -199,7 +202,7 @@ def _sums(tables: dict, texts: list[bytes]):
 def predict_all(tables: dict | None, net: ByteNet | None, texts: list[str | None]) -> list[tuple[str, float]]:
     """Language and score of each text, by batches of windows; a window's logits don't depend on its batch."""
     out = [("und", 0.0)] * len(texts)
-    known = [i for i, t in enumerate(texts) if t and _LETTER.search(t)] if net else []
+    known = [i for i, t in enumerate(texts) if t and has_letter(t)] if net else []
     for i, total, n in zip(known, *_sums(tables, [texts[i].lower().encode() for i in known])):
         z = total / n
         p = np.exp(z - z.max())

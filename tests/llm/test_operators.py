@@ -424,32 +424,34 @@ def test_repeats(docs_of, group):
     assert [got[i] for i in range(len(texts))] == want
 
 
-def passages_by_force(texts, length, words, spans=False):
-    """Repeated runs of bytes with more than so many whole words: how many, or where."""
+def passages_by_force(texts, length):
+    """The texts without the words of any ``length`` in a row that also stand in a row elsewhere, and the white space behind them."""
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+    seen = collections.Counter(tuple(w[p : p + length]) for w in words for p in range(len(w) - length + 1))
     out = []
-    raw = [(t or "").encode() for t in texts]
-    seen = collections.Counter(b[p : p + length] for b in raw for p in range(len(b) - length + 1))
-    for b in raw:
-        gone = bytearray(len(b) + 1)
-        for p in range(len(b) - length + 1):
-            if seen[b[p : p + length]] > 1:
-                gone[p : p + length] = b"\1" * length
-        n = []
-        for run in re.finditer(rb"\x01+", gone):
-            whole = [m for m in re.finditer(rb"[^\x20\x09-\x0D]+", b) if run.start() <= m.start() and m.end() <= run.end()]
-            n += [run.span()] * (len(whole) > words)
-        out.append(n if spans else len(n))
+    for t, w in zip(texts, words):
+        gone = {q for p in range(len(w) - length + 1) if seen[tuple(w[p : p + length])] > 1 for q in range(p, p + length)}
+        parts = re.findall(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", t or "")
+        ahead = (t or "")[: len(t or "") - sum(map(len, parts))]
+        out.append(t and ahead + "".join(x for k, x in enumerate(parts) if k not in gone))
     return out
 
 
-def test_passages(docs_of):
+@pytest.mark.parametrize("text, letter", [("½", False), ("²", False), ("Ⅷ", False), ("①", False), ("٣", False), ("5 %", False), ("_", False), ("", False), ("日", True), ("½ x", True), ("ª", True), ("ж", True)])
+def test_letters(text, letter):
+    assert language.has_letter(text) == letter
+
+
+@pytest.mark.parametrize("group", [0, 256])
+def test_passages(docs_of, group):
     r = random.Random(23)
-    shared = [prose(r, 12), prose(r, 40)]
-    texts = HARD + [prose(r, 20) + r.choice(["", " "]) + r.choice(shared) + r.choice(["", " "]) + prose(r, 20) for _ in range(30)] + [prose(r, 5) for _ in range(5)]
-    got = {x.doc_id: (x.n_passages, x.n_removed) for x in substrings.remove_repeats(docs_of(texts), 120, shorter=40, words=10).collect()}
-    force = repeats_by_force(texts, 120)
-    assert [got[i] for i in range(len(texts))] == [(n, f[1]) for n, f in zip(passages_by_force(texts, 40, 10), force)]
-    assert any(n and not f[1] for n, f in zip(passages_by_force(texts, 40, 10), force))
+    shared = [prose(r, 12), "  \n".join("a bc d é 日 f g".split()), prose(r, 40), "x y " * 12]
+    gap = lambda: r.choice(["", " ", "\n ", "\t"])
+    texts = HARD + [gap() + prose(r, 20) + gap() + r.choice(shared) + gap() + prose(r, 20) + gap() for _ in range(40)] + [prose(r, 5) for _ in range(5)]
+    texts += [" ".join("abcdefghij"[k % 10] for k in range(a, a + 30)) for a in range(3)] + ["w" * 3_000_000 + " " + shared[2], "w" * 3_000_000 + " " + shared[2] + " end"]
+    for length in (7, 11):
+        got = {x.doc_id: x.text for x in substrings.strip_repeats(docs_of(texts), length, unit="words", group=group).collect()}
+        assert [got[i] for i in range(len(texts))] == passages_by_force(texts, length)
 
 
 def test_false_matches_are_found_out(monkeypatch):
@@ -457,8 +459,8 @@ def test_false_matches_are_found_out(monkeypatch):
     held = [(1, 0, 0, 3, 5, 9, 1, b"abcdefghijkl"), (2, 0, 0, 3, 5, 9, 1, b"abcdefghijkX")]
     owner, begin = np.repeat([0, 1], 4), np.array([0, 4, 8])
     like = np.array([0, 1, 2, 3, 0, 1, 2, 3])
-    assert substrings._same_bytes(held, begin, owner, like, np.array([True] * 3 + [False] + [True] * 3 + [False]), 9)
-    assert not substrings._same_bytes(held, begin, owner, like, np.ones(8, bool), 9)
+    assert substrings._same_bytes(held, begin, owner, like, np.array([True] * 3 + [False] + [True] * 3 + [False]), 9, 1)
+    assert not substrings._same_bytes(held, begin, owner, like, np.ones(8, bool), 9, 1)
 
 
 def test_repeats_hard_cases(docs_of):

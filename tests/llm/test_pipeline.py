@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline as P
+import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tests.conftest import SF
@@ -11,12 +12,6 @@ from tests.llm.test_operators import HARD, near_by_force, overlap_by_force, pass
 from spanguard.llm import catalog
 
 
-def cut_by_force(texts, length, words):
-    """The texts without their repeated passages; these don't begin or end within a character here."""
-    gone = passages_by_force(texts, length, words, spans=True)
-    return [b"".join(raw[a:z] for a, z in zip([0, *(z for _, z in cut)], [*(a for a, _ in cut), len(raw)])).decode(errors="ignore") for raw, cut in zip([t.encode() for t in texts], gone)]
-
-
 def test_empty_tables(spark, docs_of, tmp_path):
     """Every stage, of an empty table and of one with columns of the names that operators use inside."""
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
@@ -55,7 +50,7 @@ def test_stages(spark, docs_of, tmp_path):
             want = near_by_force([before[i] for i in ids], 5, 80)[1]
             assert set(at) == {ids[c] for c in want} and all(at[i] == before[i] for i in at)
         elif name == "repeated-passages":
-            assert at == dict(zip(ids, cut_by_force([before[i] for i in ids], P.PASSAGE, P.WORDS))) and not any(passage[:300] in t for t in at.values())
+            assert at == dict(zip(ids, passages_by_force([before[i] for i in ids], P.WORDS + 1))) and not any(passage[:300] in t for t in at.values())
         else:
             assert set(at) == {i for i in ids if not overlap_by_force(before[i], item)} and len(ids) - len(at) == 2
     out = {x.doc_id: x for x in P.STAGES[-1][1](spark, docs, str(tmp_path)).collect()}
@@ -64,6 +59,21 @@ def test_stages(spark, docs_of, tmp_path):
     assert sorted(out) == sorted(x.doc_id for x in P.run(spark, str(tmp_path)).collect())
 
 
+def test_passages_of_short_words(spark, docs_of):
+    """51 words of one letter are a passage, 50 aren't."""
+    r = random.Random(22)
+    letters = [r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(51)]
+    texts = [prose(r, 9) + " " + " ".join(letters) + " " + prose(r, 9), prose(r, 9) + "\n" + "  ".join(letters), prose(r, 9) + " " + " ".join(letters[:50]) + " end"]
+    out = {x.doc_id: x.text for x in P.repeated_passage_stage(spark, docs_of(texts), "").collect()}
+    assert [len(out[i].split()) for i in range(3)] == [18, 9, 60] and out[2] == texts[2]
+
+
+def test_no_labels(spark, docs_of):
+    """Without a labelled document nothing can be learnt, and no document is dropped for it."""
+    with pytest.raises(ValueError):
+        P.language_stage(spark, docs_of(["some text of words"]).withColumn("lang", F.lit(None).cast("string")), "")
+
+
 def test_run_on_the_small_tables(spark):
     out = P.run(spark, SF)
     assert out.columns == ["doc_id", "n_tokens", "ids", "decoded"] and 150 < out.count() < 200
