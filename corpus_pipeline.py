@@ -17,16 +17,19 @@ from pyspark.sql import functions as F
 from spanguard.llm import catalog, decontaminate, language, neardup, pieces, substrings
 from spanguard.llm.common import Scratch, table
 
-#: A repeated passage goes if it has more words than these; it is found if it has so many bytes.
-WORDS, PASSAGE = 50, 200
+#: A repeated passage goes if it has more words than these.
+WORDS = 50
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go whose language isn't found: null, empty or letterless text, or a score under 0.5.
 
-    Equal texts have one score, so ties and repeated rows share their fate. Without labelled rows all go.
+    Equal texts have one score, so ties and repeated rows share their fate. Rows of which none is labelled are an
+    error, as no language could be found; an empty table stays empty.
     """
     sample = [(r.lang, r.text) for r in language.training_rows(docs).collect()]
+    if not sample and not docs.isEmpty():
+        raise ValueError("no document has text and lang: there is nothing to learn languages from")
     return language.keep_identified(docs, language.train(sample))
 
 
@@ -39,11 +42,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of over 50 words that occur more than once are cut out; all documents stay.
+    """Passages of over 50 words that occur more than once are cut out, whatever white space stands between the words; all documents stay.
 
     Null texts stay null; a text that is one repeated passage becomes empty, wherever it stands.
     """
-    return substrings.strip_repeats(docs, length=PASSAGE, words=WORDS)
+    return substrings.strip_repeats(docs, length=WORDS + 1, unit="words")
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
