@@ -5,12 +5,14 @@ from __future__ import annotations
 import argparse
 import json
 import time
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from .functions import fixed_values as V
 from .functions import guard as G
 from .operators import metrics, models, validation
+from .operators.ledger import Ledger
 from .plans import guard, pii, review
 from .session import build_session
 from .sources import readers, writers
@@ -25,9 +27,9 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--output-dir", default="output/anonymize")
     a.add_argument("--format", choices=("jsonl", "parquet"), default="jsonl")
     a.add_argument("--split", default="test", help="of Parquet with a column split, its rows; and the name in --input")
-    a.add_argument("--batch-size", type=int, help="rows that a model gets at once")
+    a.add_argument("--batch-size", type=int, help="windows that a model gets at once, given to the tagger as batch_size")
     a.add_argument("--device", default="auto", help="given to the tagger's loader")
-    a.add_argument("--tagger", help="package.module:function, called with the device, that returns a tagger")
+    a.add_argument("--tagger", help="package.module:function, called with the device (and batch_size=, if given), that returns a tagger")
     a.add_argument("--verbose", "-v", action="store_true")
     a.add_argument("--max-samples", type=int)
     a.add_argument("--stratify-by")
@@ -39,7 +41,8 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("--output-dir", required=True)
     g.add_argument("--thresholds")
     g.add_argument("--test-sample", type=int, help="the first rows only, by row_id where there is one")
-    g.add_argument("--calibrate", action="store_true", help="find the thresholds on the rows' labels first")
+    g.add_argument("--train-sample", type=int, help="the first rows of the train split only, by row_id")
+    g.add_argument("--calibrate", action="store_true", help="find the thresholds on the labels of the train split first")
     g.add_argument("--evaluate", action="store_true", help="metrics of the rows' labels too")
     e = sub.add_parser("guard-evaluate", help="metrics of scored prompts (label, p1)")
     e.add_argument("--predictions", required=True)
@@ -55,8 +58,9 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--output-dir", required=True)
     r.add_argument("--client", help="package.module:function that returns an async call of (instructions, input)")
     r.add_argument("--cwe", help="JSON array of the known ids")
-    r.add_argument("--sample", type=int, help="the first ids only")
-    r.add_argument("--concurrency", type=int, default=10)
+    r.add_argument("--sample", type=int, help="a trial of the first ids: one call at a time, none tried again")
+    r.add_argument("--concurrency", type=int, help="calls at once in the whole cluster")
+    r.add_argument("--ledger", help="folder of answered calls, which are not asked again; by default in the output")
     return p
 
 
@@ -66,8 +70,6 @@ def run_anonymize(spark, o) -> dict:
     docs = readers.read_jsonl(spark, source, readers.DOCUMENTS) if o.format == "jsonl" else readers.read_documents(spark, source)
     if "split" in docs.columns:
         docs = docs.where(F.col("split") == o.split)
-    if o.batch_size:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(o.batch_size))
     if o.verbose:
         spark.sparkContext.setLogLevel("INFO")
     if o.max_samples:
@@ -75,8 +77,9 @@ def run_anonymize(spark, o) -> dict:
     settings = pii.PiiSettings(min_score=o.min_score, high_confidence=o.high_confidence)
     # the plan runs once: both artifacts are projections of what is written first
     work = f"{o.output_dir}/records"
-    tagger = models.client_of(o.tagger, o.device)() if o.tagger else None
-    pii.anonymize(docs, settings, tagger).write.mode("overwrite").parquet(work)
+    more = {"batch_size": o.batch_size} if o.batch_size else {}
+    run = pii.Anonymizer(models.client_of(o.tagger, o.device, **more), settings).load() if o.tagger else lambda d: pii.anonymize(d, settings)
+    run(docs).write.mode("overwrite").parquet(work)
     records = spark.read.parquet(work)
     if not o.no_audit:
         writers.write_jsonl(records, f"{o.output_dir}/audit")
@@ -90,11 +93,14 @@ def run_anonymize(spark, o) -> dict:
     return out
 
 
-def _calibrated(spark, rows, path: str | None, wanted: bool) -> tuple[float, float]:
-    """Thresholds found on labelled rows if wanted, else those of the file or the defaults."""
-    low, high = readers.read_thresholds(spark, path)
-    best = metrics.calibrate(_classed(rows)).first() if wanted else None
-    return (best.t_low, best.t_high) if best else (low, high)
+def _calibrated(spark, train, path: str | None, wanted: bool) -> tuple[float, float]:
+    """Thresholds found on the train split's labels if wanted, else those of the file or the defaults."""
+    if not wanted:
+        return readers.read_thresholds(spark, path)
+    if "label" not in train.columns or train.isEmpty():
+        raise SystemExit("--calibrate needs labelled rows with split = train: thresholds aren't tuned on the rows that they decide")
+    best = metrics.calibrate(_classed(train)).first()
+    return best.t_low, best.t_high
 
 
 def _classed(rows):
@@ -103,18 +109,25 @@ def _classed(rows):
 
 def run_guard(spark, o) -> dict:
     began = time.time()
-    prompts = spark.read.parquet(o.input)
-    if "split" in prompts.columns:
-        prompts = prompts.where(F.col("split") == "test")
+    if "split" in spark.read.parquet(o.input).columns:
+        train, test = readers.read_splits(spark, o.input, o.train_sample)
+    else:
+        test = spark.read.parquet(o.input)
+        train = test.limit(0)
     if o.test_sample:
-        prompts = (prompts.orderBy("row_id") if "row_id" in prompts.columns else prompts).limit(o.test_sample)
+        test = (test.orderBy("row_id") if "row_id" in test.columns else test).limit(o.test_sample)
+    # both splits are scored in one pass; without calibration the train split isn't needed
+    prompts = test.withColumn("_part", F.lit("test"))
+    if o.calibrate:
+        prompts = prompts.unionByName(train.withColumn("_part", F.lit("train")))
     scored = prompts if "p1" in prompts.columns else prompts.withColumn("p1", G.stub_score(F.col("text")))
     with metrics.Throughput(scored.withColumn("raw_label", G.raw_label(F.col("p1")))) as t:
         # the model's scores are written once, and everything else reads them
         t.df.write.mode("overwrite").parquet(f"{o.output_dir}/scored")
-    scored = spark.read.parquet(f"{o.output_dir}/scored")
+    every = spark.read.parquet(f"{o.output_dir}/scored")
+    scored = every.where("_part = 'test'").drop("_part")
     writers.write_jsonl(scored.select("text", "p1", "raw_label"), f"{o.output_dir}/raw_predictions")
-    low, high = _calibrated(spark, scored, o.thresholds, o.calibrate)
+    low, high = _calibrated(spark, every.where("_part = 'train'"), o.thresholds, o.calibrate)
     decided = guard.decisions(scored, guard.GuardSettings(low, high))
     decided.write.mode("overwrite").parquet(f"{o.output_dir}/decisions")
     decided = spark.read.parquet(f"{o.output_dir}/decisions")
@@ -146,25 +159,39 @@ def run_evaluate(spark, o) -> dict:
     return overall.first().asDict() | errors.first().asDict() | {"per_label": [r.asDict() for r in labels.orderBy(F.desc("support"), "label").collect()]}
 
 
-def run_review(spark, o) -> dict:
-    code = readers.read_code(spark, o.code)
+def _review_settings(o) -> review.ReviewSettings:
+    found = review.ReviewSettings()
     if o.sample:
-        code = code.orderBy("unique_id").limit(o.sample)
-    first, second = o.stage1, o.stage2
+        found = found.sampled(o.sample)
+    if o.concurrency:
+        found = replace(found, triage=replace(found.triage, concurrency=o.concurrency), analysis=replace(found.analysis, concurrency=o.concurrency))
+    return found
+
+
+def run_review(spark, o) -> dict:
+    code, settings = readers.read_code(spark, o.code), _review_settings(o)
+    if settings.sample:
+        code = code.orderBy("unique_id").limit(settings.sample)
+
+    def between(df, name):
+        writers.write_jsonl(df, f"{o.output_dir}/{name}")
+        return readers.read_stage(spark, f"{o.output_dir}/{name}", readers.STAGE1 if name == "stage1" else readers.STAGE2)
+
     if o.client:
         if not o.cwe:
             raise SystemExit("--client needs --cwe")
-        client = models.client_of(o.client)
-        ask = lambda rows, words: rows.join(models.ask(rows, client, words, concurrency=o.concurrency), "unique_id", "left")
-        if not first:
-            first = f"{o.output_dir}/stage1"
-            writers.write_jsonl(review.triage(ask(code, models.TRIAGE_INSTRUCTIONS), F.col("reply")), first)
-        second = f"{o.output_dir}/stage2"
-        flagged = review.flagged(review.latest(readers.read_stage(spark, first, readers.STAGE1)), code)
-        writers.write_jsonl(review.analyse(ask(flagged, models.ANALYSIS_INSTRUCTIONS), F.col("reply"), readers.read_cwe(spark, o.cwe)), second)
-    if not first or not second:
+        client, known = models.named(o.client), readers.read_cwe(spark, o.cwe)
+        if o.stage1:
+            stage1 = readers.read_stage(spark, o.stage1, readers.STAGE1)
+            ask = review.asking(client, settings.analysis, Ledger(spark, o.ledger or f"{o.output_dir}/ledger"), settings.most_failed)
+            stage2 = between(review.analyse(ask(review.flagged(review.latest(stage1), code)), F.col("reply"), known), "stage2")
+            merged = review.merge(stage1, stage2, code)
+        else:
+            merged = review.run_cascade(code, client, known, o.ledger or f"{o.output_dir}/ledger", between, settings)
+    elif not o.stage1 or not o.stage2:
         raise SystemExit("--stage1 and --stage2 are needed where there is no --client")
-    merged = review.merge(readers.read_stage(spark, first, readers.STAGE1), readers.read_stage(spark, second, readers.STAGE2), code)
+    else:
+        merged = review.merge(readers.read_stage(spark, o.stage1, readers.STAGE1), readers.read_stage(spark, o.stage2, readers.STAGE2), code)
     merged.write.mode("overwrite").parquet(f"{o.output_dir}/merged")
     merged = spark.read.parquet(f"{o.output_dir}/merged").orderBy("unique_id")
     writers.write_csv(merged, f"{o.output_dir}/results")

@@ -12,6 +12,8 @@ from pyspark.sql.types import StringType
 from . import fixed_values as V
 
 SPAN_TYPE = "array<struct<label:string,start:int,end:int,score:double>>"
+#: Matches that are counted in one array.
+BLOCK = 256
 
 
 def let(value: Column, body) -> Column:
@@ -33,14 +35,27 @@ def find_spans(text: Column, pattern: str, label: str, score: float, needs: str
     p = unicode_pattern(pattern)
     gaps, found = F.split(text, p, -1), F.regexp_extract_all(text, F.lit(p), F.lit(0))
 
-    def grow(pairs: Column) -> Column:
+    def spans_from_0(pairs: Column) -> Column:
         def step(acc, x):
             at = acc["at"] + x["gap"]
             span = F.struct(F.lit(label).alias("label"), at.alias("start"), (at + x["size"]).alias("end"), F.lit(float(score)).alias("score"))
             return F.struct((at + x["size"]).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-        first = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN_TYPE).alias("out"))
-        return F.aggregate(pairs, first, step, lambda acc: acc["out"])
+        return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.array().cast(SPAN_TYPE).alias("out")), step)
+
+    def grow(pairs: Column) -> Column:
+        return F.when(F.size(pairs) <= BLOCK, spans_from_0(pairs)["out"]).otherwise(by_blocks(pairs))
+
+    def by_blocks(pairs: Column) -> Column:
+        """An array that grows is copied at each step, so many matches are counted in blocks, and the blocks then moved to their places."""
+        parts = F.transform(F.sequence(F.lit(1), F.size(pairs), F.lit(BLOCK)), lambda i: spans_from_0(F.slice(pairs, i, F.lit(BLOCK))))
+
+        def moved(parts: Column) -> Column:
+            ends = F.aggregate(parts, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x["at"])))
+            move = lambda s, d: F.struct(s["label"].alias("label"), (s["start"] + d).alias("start"), (s["end"] + d).alias("end"), s["score"].alias("score"))
+            return let(ends, lambda at: F.flatten(F.transform(parts, lambda x, i: let(F.get(at, i), lambda d: F.transform(x["out"], lambda s: move(s, d))))))
+
+        return let(parts, moved)
 
     def sized(g: Column) -> Column:
         return F.transform(found, lambda m, i: F.struct(F.length(F.get(g, i)).alias("gap"), F.length(m).alias("size")))

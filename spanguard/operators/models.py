@@ -11,13 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import SPAN_TYPE
+from .ledger import PATIENCE, CallsFailed, RetryLater, one_call  # noqa: F401  what clients raise
 from .spans import decode_tags, windows
 
 
-class RetryLater(Exception):
-    """What a client raises when the call may succeed later."""
-
-
 def tag_windows(docs: DataFrame, tokens: Callable[[Column], Column], predict: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], size: int = 512, overlap: int = 64) -> DataFrame:
     """Adds model_spans, one array of spans for each window of each document, and model_error: it has no tags.
 
@@ -48,47 +45,51 @@ def tag_windows(docs: DataFrame, tokens: Callable[[Column], Column], predict: Ca
     return docs.drop("_tokens", "_windows", "pieces", "_p")
 
 
-def ask(rows: DataFrame, client: Callable[[], Callable[[str, str], Awaitable[str]]], instructions: str, text: str = "code", key: str = "unique_id", concurrency: int = 10, attempts: int = 3, wait: tuple[float, float] = (1.0, 10.0)) -> DataFrame:
+def ask(rows: DataFrame, client: Callable[[], Callable[[str, str], Awaitable[str]]], instructions: str, text: str = "code", key: str = "unique_id", concurrency: int = 10, attempts: int = 3, wait: tuple[float, float] = (1.0, 10.0), most_failed: float = 1.0) -> DataFrame:
     """Rows key and reply of a language model; null where every attempt failed.
 
-    ``client()`` is called once for each task and returns an async (instructions, input) call; so many
-    calls of a task run at once. Only ``RetryLater`` is tried again, after growing pauses. Write the
-    result before using it twice, so no call is paid for again.
+    For calls that cost nothing: a task that is tried again calls again (``ledger.ask_once`` doesn't), and ``concurrency``
+    calls run at once in each task. ``client()`` is called once for each task and returns an async (instructions,
+    input) call. Only ``RetryLater`` is tried again, after growing pauses. More than the share ``most_failed`` of failed
+    calls, of ``PATIENCE`` at least, is an error.
     """
     schema = f"{key} {dict(rows.dtypes)[key]}, reply string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = client()
+        free, asked, errors = asyncio.Semaphore(concurrency), 0, []
 
-        async def one(value: str, free: asyncio.Semaphore):
+        async def one(call, value: str):
             async with free:
-                for k in range(attempts):
-                    try:
-                        reply = await call(instructions, value)
-                        return reply if reply and not reply.isspace() else None  # an empty reply says nothing
-                    except RetryLater:
-                        if k + 1 < attempts:
-                            await asyncio.sleep(min(wait[1], wait[0] * 2**k))
-                    except Exception:  # whatever else the client raises counts as no reply
-                        return None
-            return None
-
-        async def all_of(values):
-            free = asyncio.Semaphore(concurrency)
-            return await asyncio.gather(*(one(v, free) for v in values))
-
-        for batch in batches:
-            yield pd.DataFrame({key: batch[key], "reply": asyncio.run(all_of(batch[text]))})
+                return await one_call(call, instructions, value, attempts, wait)
+
+        async def all_of(call, values):
+            return await asyncio.gather(*(one(call, v) for v in values))
+
+        with asyncio.Runner() as loop:  # one loop for the client's whole life
+            call = client()
+            for batch in batches:
+                found = loop.run(all_of(call, batch[text]))
+                asked += len(found)
+                errors += [e for _, e in found if e is not None]
+                if asked >= PATIENCE and len(errors) > most_failed * asked:
+                    raise CallsFailed(f"{len(errors)} of {asked} calls failed, the first with {errors[0]}")
+                # an empty reply says nothing
+                yield pd.DataFrame({key: batch[key], "reply": [r if r and not r.isspace() else None for r, _ in found]})
 
     return rows.select(key, text).mapInPandas(run, schema)
 
 
-def client_of(name: str, *args) -> Callable[[], Callable[[str, str], Awaitable[str]]]:
-    """A client's or tagger's factory by its name, ``package.module:function``, looked up where it is called."""
+def named(name: str) -> Callable:
+    """What ``package.module:function`` names."""
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
+def client_of(name: str, *args, **more) -> Callable[[], Callable[[str, str], Awaitable[str]]]:
+    """A client's or tagger's factory by its name, looked up where it is called."""
 
     def make():
-        module, _, function = name.partition(":")
-        return getattr(importlib.import_module(module), function)(*args)
+        return named(name)(*args, **more)
 
     return make
 

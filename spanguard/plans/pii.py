@@ -34,7 +34,7 @@ class PiiSettings:
     resolve: bool = False
 
 
-#: A tagger takes the documents and adds ``model_spans``, one array of spans for each window.
+#: A tagger takes the documents and adds ``model_spans``, one array of spans for each window, or ``model_entities``, already merged.
 Tagger = Callable[[DataFrame], DataFrame]
 
 
@@ -48,7 +48,8 @@ def detect(docs: DataFrame, settings: PiiSettings = PiiSettings(), tagger: Tagge
     """Adds ``spans``: those of the model, merged over its windows, and those of the patterns, by start."""
     model = F.array().cast(T.SPAN_TYPE)
     if tagger:
-        docs, model = tagger(docs), S.merge_spans(F.flatten("model_spans"))
+        docs = tagger(docs)
+        model = F.col("model_entities") if "model_entities" in docs.columns else S.merge_spans(F.flatten("model_spans"))
     docs = docs.withColumn("_model", model)
     every = F.concat(F.col("_model"), S.regex_spans(F.col("text"), F.col("_model") if tagger else None))
     spans = S.sort_by_start(every)
@@ -121,3 +122,26 @@ def registry(values: DataFrame, normalizer=None) -> DataFrame:
 
 def summary(records: DataFrame, settings: PiiSettings, seconds: float) -> DataFrame:
     return records.agg(F.count("*").alias("total_documents")).select("total_documents", F.lit(round(seconds, 2)).alias("elapsed_seconds"), F.lit(settings.model_name).alias("model"), F.lit(settings.model_version).alias("model_version"), F.lit(settings.min_score).alias("min_score"), F.lit(settings.high_confidence).alias("high_confidence_threshold"))
+
+
+class Anonymizer:
+    """``anonymize`` with a model that has to be loaded first: a call before ``load`` raises.
+
+    ``loader`` is called once by ``load`` and returns a tagger.
+    """
+
+    def __init__(self, loader: Callable[[], Tagger], settings: PiiSettings = PiiSettings(), normalizer=None):
+        self.loader, self.settings, self.normalizer, self.tagger = loader, settings, normalizer, None
+
+    @property
+    def loaded(self) -> bool:
+        return self.tagger is not None
+
+    def load(self) -> "Anonymizer":
+        self.tagger = self.loader()
+        return self
+
+    def __call__(self, docs: DataFrame) -> DataFrame:
+        if self.tagger is None:
+            raise RuntimeError("the model isn't loaded: call load() first")
+        return anonymize(docs, self.settings, self.tagger, self.normalizer)

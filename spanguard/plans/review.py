@@ -2,18 +2,51 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions import replies as R
+from ..operators import models
+from ..operators.ledger import Ledger, ask_once
 from ..operators.tables import keep_first, keep_last, not_blank
 
 DETAILS = ("cwe_id", "mechanism", "fixed_code", "justification")
 
 
+@dataclass(frozen=True)
+class StageSettings:
+    """How a stage calls its model; a client's factory that takes an argument gets these."""
+
+    instructions: str
+    temperature: float
+    max_output_tokens: int
+    #: Bounds of the pauses between tries, in seconds.
+    wait: tuple[float, float]
+    #: Calls at once in the whole cluster, and tries of each.
+    concurrency: int = 10
+    attempts: int = 3
+    model: str = ""
+
+
+@dataclass(frozen=True)
+class ReviewSettings:
+    triage: StageSettings = StageSettings(models.TRIAGE_INSTRUCTIONS, 0.0, 200, (1.0, 10.0))
+    analysis: StageSettings = StageSettings(models.ANALYSIS_INSTRUCTIONS, 0.3, 2000, (2.0, 15.0))
+    #: Share of failed calls above which a stage is an error.
+    most_failed: float = 0.5
+    sample: int | None = None
+
+    def sampled(self, n: int = 100) -> "ReviewSettings":
+        """A trial run: the first rows, one call at a time, none tried again."""
+        one = lambda s: replace(s, concurrency=1, attempts=1)
+        return replace(self, triage=one(self.triage), analysis=one(self.analysis), sample=n)
+
+
 def clean(code: DataFrame, key: str = "unique_id", order: str = "row_id") -> DataFrame:
     """Rows with code, the first of each id."""
     return keep_first(not_blank(code, "code"), key, order)
@@ -81,3 +114,23 @@ def cascade(code: DataFrame, first: Callable[[DataFrame], DataFrame], second: Ca
     stage1 = between(triage(first(rows), F.col("reply")), "stage1")
     stage2 = between(analyse(second(flagged(stage1, rows)), F.col("reply"), known), "stage2")
     return merge(stage1, stage2, rows)
+
+
+def asking(client: Callable, stage: StageSettings, ledger: Ledger, most_failed: float = 0.5) -> Callable[[DataFrame], DataFrame]:
+    """Adds ``reply`` to rows by paid calls, each made once as the ledger remembers it."""
+    make = (lambda: client(stage)) if inspect.signature(client).parameters else client
+    ask = lambda rows: ask_once(rows, make, stage.instructions, ledger, concurrency=stage.concurrency, attempts=stage.attempts, wait=stage.wait, most_failed=most_failed)
+    return lambda rows: rows.join(ask(rows), "unique_id", "left")
+
+
+def run_cascade(code: DataFrame, client: Callable, known: DataFrame, folder: str, between: Callable[[DataFrame, str], DataFrame], settings: ReviewSettings = ReviewSettings()) -> DataFrame:
+    """The cascade by a paid model: both stages ask through the ledger in ``folder``, so what stopped goes on where it was.
+
+    ``code`` has an id once and no blank code; ``settings.sample`` takes the first ids.
+    """
+    rows = code if settings.sample is None else code.orderBy("unique_id").limit(settings.sample)
+    ledger = Ledger(code.sparkSession, folder)
+    stage1 = between(triage(asking(client, settings.triage, ledger, settings.most_failed)(rows), F.col("reply")), "stage1")
+    found = flagged(latest(stage1) if "line" in stage1.columns else stage1, rows)
+    stage2 = between(analyse(asking(client, settings.analysis, ledger, settings.most_failed)(found), F.col("reply"), known), "stage2")
+    return merge(stage1, stage2, rows)
