@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,11 +12,13 @@ from ..functions import fixed_values as V
 from ..functions import guard as G
 from ..functions import replies as R
 from ..functions import text as T
-from ..operators import fuzzy
+from ..operators import fuzzy, models, windowed
 from ..operators import metrics as M
 from ..operators import spans as S
 from ..operators import tables as B
 from ..operators import validation as C
+from ..operators.ledger import Ledger
+from ..scratch import shared_dir
 from ..session import ship
 from . import guard, pii, review
 
@@ -148,15 +153,16 @@ def pii_policy_actions(spark, sf_dir):
 
 #: Every label that is known, and two that aren't.
 GRID_LABELS = sorted({x for name, labels in vars(V).items() if name.endswith("_LABELS") for x in labels} | {x for v in V.STRATEGIES.values() for x in v} | {"url", "no such label"})
-GRID_SCORES = [0.0, 0.49, 0.5, 0.6, 0.84, 0.85, 0.9, 1.0]
 
 
-@query(f"""SELECT label, score, {sql_action()} AS action, {sql_action()} = 'mask' AS needs_review, {sql_strategy(action=sql_action())} AS strategy
-FROM (SELECT unnest({GRID_LABELS}) AS label), (SELECT CAST(unnest({GRID_SCORES}) AS DOUBLE) AS score)""")
+@query(f"""SELECT doc_id, label, score, {sql_action()} AS action, {sql_action()} = 'mask' AS needs_review, {sql_strategy(action=sql_action())} AS strategy
+FROM (SELECT doc_id, ({GRID_LABELS})[doc_id % {len(GRID_LABELS)} + 1] AS label, CAST(n_chars % 101 / 100 AS DOUBLE) AS score FROM documents)""")
 def pii_policy_grid(spark, sf_dir):
-    labels, scores = spark.createDataFrame([(x,) for x in GRID_LABELS], "label string"), spark.createDataFrame([(x,) for x in GRID_SCORES], "score double")
+    """Every document as a finding of a label by its id, with a score by its length: the policy's every branch over the whole table."""
+    label = F.get(F.array(*[F.lit(x) for x in GRID_LABELS]), (F.col("doc_id") % len(GRID_LABELS)).cast("int"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", label.alias("label"), (F.col("n_chars") % 101 / 100).alias("score"))
     act = S.action(F.col("label"), F.col("score"))
-    return labels.crossJoin(scores).select("label", "score", act.alias("action"), (act == "mask").alias("needs_review"), T.strategy(F.col("label"), act).alias("strategy"))
+    return rows.select("doc_id", "label", "score", act.alias("action"), (act == "mask").alias("needs_review"), T.strategy(F.col("label"), act).alias("strategy"))
 
 
 @query(f"SELECT DISTINCT label, value, {SQL_FOUND_MASK} AS masked, {SQL_GOV_MASK} AS as_gov_id, {sql_generic()} AS generic FROM ({SQL_ALL_SPANS})")
@@ -616,10 +622,16 @@ def review_analysis_parse(spark, sf_dir):
     return _code(spark, sf_dir).select("unique_id", R.analysis_reply(_reply()).alias("r")).select("unique_id", "r.*")
 
 
-@query(f"SELECT cwe_id, {SQL_REASON} AS cwe_reason, {SQL_REASON} = '' AS valid FROM (SELECT unnest(['CWE-79', 'CWE-89', '', 'CWE-', 'cwe-79', 'CWE-99999', '79', 'CWE-20x']) AS cwe_id)")
+SQL_IDS = "SELECT c_custkey, CASE c_nationkey WHEN 0 THEN '' WHEN 1 THEN 'CWE-' WHEN 2 THEN 'cwe-' || c_custkey WHEN 3 THEN CAST(c_custkey AS VARCHAR) WHEN 4 THEN 'CWE-' || c_custkey || 'x' WHEN 5 THEN NULL ELSE 'CWE-' || c_custkey % 100 END AS cwe_id FROM customer"
+
+
+@query(f"SELECT c_custkey, cwe_id, coalesce({SQL_REASON}, 'empty') AS cwe_reason, coalesce({SQL_REASON}, 'empty') = '' AS valid FROM (SELECT c_custkey, coalesce(cwe_id, '') AS c, cwe_id FROM ({SQL_IDS}))".replace("CASE WHEN cwe_id = ''", "CASE WHEN c = ''"))
 def review_cwe_validate(spark, sf_dir):
-    ids = spark.createDataFrame([(c,) for c in ("CWE-79", "CWE-89", "", "CWE-", "cwe-79", "CWE-99999", "79", "CWE-20x")], "cwe_id string")
-    return review.check_cwe(ids, _known(spark)).withColumn("valid", F.col("cwe_reason") == "")
+    """An id for each customer, of a form that its nation decides; most are well formed and few of them known."""
+    n, key = F.col("c_nationkey"), F.col("c_custkey").cast("string")
+    formed = F.when(n == 0, "").when(n == 1, "CWE-").when(n == 2, F.concat(F.lit("cwe-"), key)).when(n == 3, key).when(n == 4, F.concat(F.lit("CWE-"), key, F.lit("x"))).when(n != 5, F.concat(F.lit("CWE-"), (F.col("c_custkey") % 100).cast("string")))
+    ids = table(spark, sf_dir, "customer").select("c_custkey", formed.alias("cwe_id"))
+    return review.check_cwe(ids, _known(spark)).select("c_custkey", "cwe_id", "cwe_reason", (F.col("cwe_reason") == "").alias("valid"))
 
 
 @query(f"SELECT doc_id AS unique_id, {SQL_DOWNGRADED} FROM documents JOIN {SQL_SAID} ON k = doc_id % {len(REPLIES)}")
@@ -639,19 +651,37 @@ def review_merge(spark, sf_dir):
     return review.merge(stage1, stage2, code)
 
 
-@query(f"""SELECT a.unique_id, c.code, coalesce(b.verdict, a.verdict) AS verdict, coalesce(b.cwe_id, '') AS cwe_id, coalesce(b.mechanism, '') AS mechanism, coalesce(b.fixed_code, '') AS fixed_code, coalesce(b.justification, '') AS justification
-FROM (SELECT conv_id AS unique_id, v1 AS verdict FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS last FROM conversations) JOIN {SQL_SAID} ON k = (conv_id + turn) % {len(REPLIES)} WHERE last = 1) a
-JOIN (SELECT conv_id AS unique_id, arg_max(text, turn) AS code FROM conversations GROUP BY conv_id) c USING (unique_id)
-LEFT JOIN (SELECT conv_id AS unique_id, {SQL_DOWNGRADED} FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS last FROM conversations WHERE turn % 3 > 0) JOIN {SQL_SAID} ON k = (conv_id + turn + 3) % {len(REPLIES)} WHERE last = 1) b USING (unique_id)""")
+SQL_LAST_LINES = "(SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS last FROM conversations)"
+SQL_LAST_TRIAGE = f"SELECT conv_id AS unique_id, v1 AS verdict FROM {SQL_LAST_LINES} JOIN {SQL_SAID} ON k = (conv_id + turn) % {len(REPLIES)} WHERE last = 1"
+
+
+@query(f"""WITH a AS ({SQL_LAST_TRIAGE})
+SELECT a.unique_id, c.code, coalesce(b.verdict, a.verdict) AS verdict, coalesce(b.cwe_id, '') AS cwe_id, coalesce(b.mechanism, '') AS mechanism, coalesce(b.fixed_code, '') AS fixed_code, coalesce(b.justification, '') AS justification
+FROM a JOIN (SELECT conv_id AS unique_id, arg_max(text, turn) AS code FROM conversations GROUP BY conv_id) c USING (unique_id)
+LEFT JOIN (SELECT conv_id AS unique_id, {SQL_DOWNGRADED} FROM {SQL_LAST_LINES} JOIN {SQL_SAID} ON k = (conv_id + turn + 3) % {len(REPLIES)} WHERE last = 1 AND conv_id IN (SELECT unique_id FROM a WHERE verdict <> 'secure')) b USING (unique_id)""")
 def review_merge_last_wins(spark, sf_dir):
-    """Conversations as files of replies: every turn is a line, an id stands on many, and the last one counts on each side."""
+    """Conversations as files of replies: every turn is a line, an id stands on many, and the last one counts on each side.
+
+    The second stage has lines of those ids only that the last line of the first didn't call secure.
+    """
     lines = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("unique_id"), F.col("turn").alias("line"), F.col("text").alias("code"))
     reply = lambda shift: F.get(F.array(*[F.lit(r) for r in REPLIES]), ((F.col("unique_id") + F.col("line") + shift) % len(REPLIES)).cast("int"))
     stage1 = lines.select("unique_id", "line", R.triage_reply(reply(0)).alias("r")).select("unique_id", "line", "r.*")
-    parsed = lines.where("line % 3 > 0").select("unique_id", "line", R.analysis_reply(reply(3)).alias("r")).select("unique_id", "line", "r.*")
+    found = review.flagged(review.latest(stage1), lines)
+    parsed = found.select("unique_id", "line", R.analysis_reply(reply(3)).alias("r")).select("unique_id", "line", "r.*")
     return review.merge(stage1, review.downgrade(parsed, _known(spark)), lines)
 
 
+@query(SQL_STAGE1.replace("doc_id %", "coalesce(length(text), 0) %").replace("FROM documents JOIN", "FROM (SELECT * FROM documents WHERE text IS NOT NULL) JOIN") + f" UNION ALL SELECT doc_id, 'uncertain', true FROM documents WHERE text IS NULL")
+def review_paid_triage(spark, sf_dir):
+    """Triage of every document by a client whose reply depends on the text's length, through a ledger; the second run asks nothing."""
+    book = Ledger(spark, f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}")
+    stage = review.StageSettings("triage", 0.0, 200, (0.0, 0.0), concurrency=64)
+    ask = lambda client: review.asking(client, stage, book)(_code(spark, sf_dir))
+    ask(models.canned(REPLIES))
+    return review.triage(ask(models.canned(["not asked"])), F.col("reply"))
+
+
 @query(f"SELECT 1 AS stage, verdict, count(*) AS n FROM ({SQL_STAGE1}) GROUP BY verdict UNION ALL SELECT 2, verdict, count(*) FROM ({SQL_STAGE2}) GROUP BY verdict")
 def review_verdict_counts(spark, sf_dir):
     _, stage1, stage2 = _stages(spark, sf_dir)
@@ -672,6 +702,25 @@ def review_output_validation(spark, sf_dir):
     return C.broken(review.merge(stage1, stage2, code), C.review_rules(), all_rules=True)
 
 
+# ---- a tagger over windows
+
+
+def _numbers(frames):
+    """A stand-in for a model: tokens of digits are numbers."""
+    for f in frames:
+        tags = [["S-NUMBER" if p.isascii() and p.isdigit() else "O" for p in pieces] for pieces in f["pieces"]]
+        yield pd.DataFrame({"tags": tags, "scores": [[0.75] * len(t) for t in tags]})
+
+
+@query(f"""SELECT doc_id, "start", "end", score FROM ({sql_spans("[^ \t-\r]+", "NUMBER", 0.75, "regexp_full_match(value, '[0-9]+')")})""")
+def windowed_tagging(spark, sf_dir):
+    """Numbers in every document, found in overlapping windows that are rows of their own and folded again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = lambda text: T.find_spans(text, "[^ \t-\r]+", "T", 1.0)
+    found = windowed.tag_documents(docs, tokens, _numbers, 128, 32)
+    return found.select("doc_id", F.inline("model_entities")).select("doc_id", "start", "end", "score")
+
+
 # ---- functions with Python inside, and JSON
 
 
