@@ -127,14 +127,16 @@ b AS (SELECT p.vec_id AS u, q.vec_id AS w FROM f p JOIN f q ON p.label = q.label
 r(a, z) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, b.w FROM r JOIN b ON b.u = r.z),
 n AS (SELECT u, count(*) AS n FROM b GROUP BY u)
 SELECT r.a AS vec_id, coalesce(any_value(n.n), 0) AS n_links, min(r.z) AS component_id, r.a = min(r.z) AS kept FROM r LEFT JOIN n ON n.u = r.a GROUP BY r.a""",
-    # a window of 13 words with at most 2 differences has 4 equal words in a row
+    # a window of 13 words with at most 2 differences has 4 equal words in a row; shorter items are met whole
     "op6_decontaminate": r"""
-WITH w AS (SELECT doc_id, string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') AS l FROM documents),
-i AS (SELECT item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS m FROM benchmark WHERE text IS NOT NULL),
-j AS (SELECT item_id, m, least(len(m), 13) AS width, CASE WHEN len(m) >= 13 THEN 11 ELSE len(m) END AS need FROM i WHERE len(m) >= 7),
-dg AS (SELECT doc_id, p, l[p] || ' ' || l[p + 1] || ' ' || l[p + 2] || ' ' || l[p + 3] AS g FROM (SELECT doc_id, l, unnest(range(1, len(l) - 2)) AS p FROM w)),
-ig AS (SELECT item_id, q, m[q] || ' ' || m[q + 1] || ' ' || m[q + 2] || ' ' || m[q + 3] AS g FROM (SELECT item_id, m, unnest(range(1, len(m) - 2)) AS q FROM j)),
-h AS (SELECT DISTINCT doc_id, item_id, p - q AS diag FROM dg JOIN ig USING (g)),
+WITH u AS (SELECT '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])' AS re),
+w AS (SELECT doc_id, string_split_regex(regexp_replace(lower(coalesce(text, '')), re, ' \1 ', 'g'), '[^\p{L}\p{N}]+') AS l FROM documents, u),
+i AS (SELECT item_id, list_filter(string_split_regex(regexp_replace(lower(text), re, ' \1 ', 'g'), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS m FROM benchmark, u WHERE text IS NOT NULL),
+j AS (SELECT item_id, m, least(len(m), 13) AS width, CASE WHEN len(m) >= 13 THEN 11 ELSE len(m) END AS need FROM i WHERE len(m) > 0),
+k AS (SELECT DISTINCT CASE WHEN len(m) >= 13 THEN 4 ELSE len(m) END AS n, CASE WHEN len(m) >= 13 THEN 1 ELSE 0 END AS long FROM j),
+dg AS (SELECT doc_id, n, p, array_to_string(l[p:p + n - 1], ' ') AS g FROM (SELECT doc_id, l, n, unnest(range(1, len(l) - n + 2)) AS p FROM w, (SELECT DISTINCT n FROM k))),
+ig AS (SELECT item_id, 4 AS n, q, array_to_string(m[q:q + 3], ' ') AS g FROM (SELECT item_id, m, unnest(range(1, len(m) - 2)) AS q FROM j WHERE len(m) >= 13) UNION ALL SELECT item_id, len(m), 1, array_to_string(m, ' ') FROM j WHERE len(m) < 13),
+h AS (SELECT DISTINCT doc_id, item_id, p - q AS diag FROM dg JOIN ig USING (n, g)),
 v AS (
   SELECT h.doc_id, h.item_id, diag, width, need, len(m) AS n, len(l) AS size,
     list_transform(range(1, len(m) + 1), lambda k: CASE WHEN diag + k >= 1 AND diag + k <= len(l) AND l[greatest(diag + k, 1)] = m[k] THEN 1 ELSE 0 END) AS e
