@@ -1,8 +1,8 @@
 """Main text of web pages by minimum-cut labelling of their blocks.
 
-A page is cut into blocks of text in page order, each with its open elements. A logistic
-classifier, fitted to the blocks of a bounded sample of pages (those that other pages have too aren't content,
-whatever they look like), gives each block a log-odds of being content; the positive part is the capacity of
+A page is cut into blocks of text in page order, each with its open elements. Over the whole table it is counted on how
+many unlike pages of its host a block stands, as what a site repeats isn't an article's. A logistic
+classifier of the text's own figures, that count and what the markup says, fitted to the blocks of a bounded sample of pages, gives each block a log-odds of being content; the positive part is the capacity of
 its edge from the source, the negative part that of its edge to the sink. Neighbouring blocks
 are joined by a smoothness edge that is weaker the more elements lie between them, and so are
 consecutive blocks under one parent. The blocks on the source's side of a minimum cut are the
@@ -11,7 +11,8 @@ computed, which changes no cut.
 
 Blocks keep all text with character references decoded; white space is one space, blocks are
 joined by one newline. Scripts, styles, forms' controls, head, comments and hidden elements
-have no blocks.
+have no blocks. A class, id or role names boilerplate if all its parts are names of boilerplate or of layout; one
+that only holds such a word (``share-prices``) is a weak hint among the others.
 
 Defined results: null or empty html gives empty text; markup that is cut off, badly nested or
 unclosed is read as far as it goes; repeated rows and ids are rows of their own; other columns
@@ -21,20 +22,22 @@ are ignored; very long pages take memory in proportion to their blocks.
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections import Counter, deque
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import Scratch, map_batches, rows_of
 
 # Element names and words of class, id and role attributes.
 BLOCK_TAGS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT_TAGS = frozenset("applet audio button canvas datalist head iframe map noembed noframes noscript object option optgroup select svg template textarea title video".split())
+SILENT_TAGS = frozenset("applet audio button canvas datalist head iframe map noembed noframes object option optgroup select svg template textarea title video".split())
 RAW_TAGS = frozenset("script style".split())
 BAD_TAGS = frozenset("nav footer aside menu dialog".split())
 BAD_WORDS = frozenset(
@@ -43,11 +46,14 @@ BAD_WORDS = frozenset(
     "skip skyscraper social sponsor sponsored subscribe subscription taboola tags talkback teaser thread toolbar topbar tracking warning widget widgets".split()
 )
 GOOD_WORDS = frozenset("article articlebody content entry main post prose story text".split())
+LAYOUT_WORDS = frozenset("area bar block bottom box btn button buttons container entries first global group holder icon icons inner item items last left list menu outer page panel primary right row secondary section site top unit wrap wrapper zone".split())
 NEGATED = frozenset("has no with without".split())
 SAME = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 #: Weights to begin with, in log-odds, in the order of ``features``.
-PLAIN = (-0.6, 3.2, -5.0, 0.8, 2.0, 0.0, 0.0, -1.0, 5.0, -9.0, -7.0)
+PLAIN = (-0.6, 3.2, -5.0, 0.8, 2.0, 0.0, 0.0, -1.0, -3.0, 5.0, -9.0, -7.0, -1.0)
+#: Repeated blocks of all hosts up to which their counts (16 bytes each) are sent to all executors; more are joined to their pages.
+REPEATS = 1_000_000
 #: Pages that the classifier is fitted to, at most: those of least id hash.
 TRAIN_PAGES = 400
 #: Smoothness of neighbours in page order, and of consecutive blocks of one parent.
@@ -65,13 +71,13 @@ _END = {t: re.compile(f"</{t}(?=[\\s/>])[^>]*>?|\\Z", re.I) for t in RAW_TAGS |
 class Node:
     """An open element: what it and its ancestors say about the text inside."""
 
-    __slots__ = ("tag", "parent", "depth", "block", "good", "bad", "form", "silent", "link")
+    __slots__ = ("tag", "parent", "depth", "block", "good", "bad", "hint", "form", "silent", "link")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.block = self if tag in BLOCK_TAGS or not parent else parent.block
-        self.good, self.bad, self.form, self.silent, self.link = (parent.good, parent.bad, parent.form, parent.silent, parent.link) if parent else (False,) * 5
+        self.good, self.bad, self.hint, self.form, self.silent, self.link = (parent.good, parent.bad, parent.hint, parent.form, parent.silent, parent.link) if parent else (False,) * 6
         if tag in SILENT_TAGS:
             self.silent = True
         elif tag in ("article", "main"):
@@ -80,6 +86,8 @@ class Node:
             self.bad = True
         elif tag == "form":
             self.form = True
+        elif tag == "noscript":
+            self.hint = True
         elif tag == "a":
             self.link = True
         if attrs and tag not in ("html", "body"):
@@ -93,18 +101,21 @@ class Node:
             elif name in ("class", "id", "role"):
                 for word in value.split():
                     parts = [p.lower() for p in _PART.findall(word)]
-                    for i, p in enumerate(parts):
-                        if p in BAD_WORDS and not (i and parts[i - 1] in NEGATED) and not (self.tag == "article" and len(parts) > 1 and parts[0] in GOOD_WORDS):
+                    said = [p for i, p in enumerate(parts) if p in BAD_WORDS and not (i and parts[i - 1] in NEGATED)]
+                    if said and not (self.tag == "article" and len(parts) > 1 and parts[0] in GOOD_WORDS):
+                        if all(p in BAD_WORDS or p in LAYOUT_WORDS or p in GOOD_WORDS for p in parts):
                             self.bad = True
-                        elif p in GOOD_WORDS:
-                            self.good = True
+                        else:
+                            self.hint = True
+                    elif any(p in GOOD_WORDS for p in parts):
+                        self.good = True
 
 
 class Block:
-    __slots__ = ("text", "node", "linked", "at")
+    __slots__ = ("text", "node", "linked", "at", "pages")
 
     def __init__(self, text: str, node: Node, linked: int, at: int):
-        self.text, self.node, self.linked, self.at = text, node, linked, at
+        self.text, self.node, self.linked, self.at, self.pages = text, node, linked, at, 1
 
 
 class _Open:
@@ -218,9 +229,9 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-#: What ``features`` says, in order; the last three come from the markup's words.
-FEATURES = ("constant", "length", "linked", "sentence", "title", "commas", "capitals", "odd", "good", "bad", "form")
-MARKUP = 3
+#: What ``features`` says, in order; the last four come from the markup's words.
+FEATURES = ("constant", "length", "linked", "sentence", "title", "commas", "capitals", "odd", "again", "good", "bad", "form", "hint")
+MARKUP = 4
 
 
 def features(b: Block) -> tuple[float, ...]:
@@ -231,7 +242,7 @@ def features(b: Block) -> tuple[float, ...]:
     odd = sum(map(text.count, "©|»›•#@")) / words
     return (
         1.0, min(words, 40) / 40, b.linked / len(text), float(sentence), float(node.tag == "h1"),
-        min(text.count(",") / words, 0.5), capitals, min(odd, 1.0), float(node.good), float(node.bad), float(node.form),
+        min(text.count(",") / words, 0.5), capitals, min(odd, 1.0), min(math.log2(b.pages), 3.0), float(node.good), float(node.bad), float(node.form), float(node.hint),
     )
 
 
@@ -245,23 +256,26 @@ TELLING, PAGES = 3, 3
 SHOWN = 8
 
 
-def labelled(pages: list[str]) -> tuple[list[tuple[float, ...]], list[float]]:
+def telling(blocks: list[Block]) -> list[Block]:
+    """Blocks that tell by themselves whether other pages have them too."""
+    return [b for b in blocks if b.text.count(" ") + 1 >= TELLING]
+
+
+def main_part(blocks: list[Block]) -> str:
+    """What pages are told apart by: copies of a page are one."""
+    return max((b.text for b in blocks), key=len, default="")
+
+
+def labelled(pages: list[list[Block]]) -> tuple[list[tuple[float, ...]], list[float]]:
     """Features and labels of the blocks that are known to be content or not.
 
-    What stands on several pages of unlike main parts (their longest blocks, so copies of a page are
-    one) is the site's and not the article's, whatever its markup; of the rest, blocks in articles are content, those in menus, forms and the like aren't.
+    What stands on several unlike pages of its host is the site's and not the article's, whatever its markup; of the
+    rest, blocks in articles are content, those in menus, forms and the like aren't.
     """
-    found = [blocks_of(page or "") for page in pages]
-    on: dict[str, set[str]] = {}
-    for blocks in found:
-        longest = max((b.text for b in blocks), key=len, default="")
-        for b in blocks:
-            if b.text.count(" ") + 1 >= TELLING:
-                on.setdefault(b.text, set()).add(longest)
     rows, labels, shown = [], [], Counter()
-    for page, blocks in zip(pages, found):
+    for blocks in pages:
         for b in blocks:
-            again = len(on.get(b.text, ())) >= PAGES
+            again = b.pages >= PAGES
             if again and shown[b.text] == SHOWN:
                 continue
             shown[b.text] += 1
@@ -271,7 +285,19 @@ def labelled(pages: list[str]) -> tuple[list[tuple[float, ...]], list[float]]:
     return rows, labels
 
 
-def fit(pages: list[str], steps: int = 400, rate: float = 0.1, decay: float = 1e-3) -> tuple[float, ...]:
+def counted(pages: list[str]) -> list[list[Block]]:
+    """Blocks of pages that are all there are of one host, with their counts."""
+    found, on = [blocks_of(page or "") for page in pages], {}
+    for blocks in found:
+        for b in telling(blocks):
+            on.setdefault(b.text, set()).add(main_part(blocks))
+    for blocks in found:
+        for b in telling(blocks):
+            b.pages = len(on[b.text])
+    return found
+
+
+def fit(pages: list[list[Block]], steps: int = 400, rate: float = 0.1, decay: float = 1e-3) -> tuple[float, ...]:
     """Weights by logistic regression on the blocks of known kind (``labelled``).
 
     Every such block is shown twice, once without what the markup's words say, so that the text's
@@ -394,33 +420,97 @@ def _max_flow_side(rest, own, near) -> list[int]:
     return [i for i in rest if i not in reach]
 
 
-def main_text(page: str | None, weights: tuple[float, ...] = PLAIN) -> str:
-    if not page:
-        return ""
-    blocks = blocks_of(page)
+def chosen(blocks: list[Block], weights: tuple[float, ...]) -> str:
     if not blocks:
         return ""
     content = minimum_cut([log_odds(b, weights) for b in blocks], smoothness(blocks))
     return "\n".join(b.text for b, c in zip(blocks, content) if c)
 
 
-def training_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> list[str]:
-    """The bounded sample; a threshold leaves about twice as many rows to sort."""
-    rows = pages.select(F.xxhash64(id_col, F.lit(31)).alias("h"), F.col(html_col).alias("html")).where(F.length("html") > 0)
-    u = F.shiftrightunsigned("h", 11) / F.lit(float(2**53))
-    return [r.html for r in rows.where(u < 2 * TRAIN_PAGES / max(1, rows.count())).orderBy("h", "html").limit(TRAIN_PAGES).collect()]
+def main_text(page: str | None, weights: tuple[float, ...] = PLAIN) -> str:
+    """Of a page by itself, without its site's."""
+    return chosen(blocks_of(page), weights) if page else ""
+
+
+def _key(host: int, text: str) -> int:
+    """A block of a host as a signed 64-bit number."""
+    return xxhash.xxh3_64_intdigest(b"%d " % host + text.encode()) - 2**63
+
+
+def _host(url: Column) -> Column:
+    return F.xxhash64(F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][^:/?#]*://([^/?#]*)", 1)))
+
+
+def repeated_blocks(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(page, key, n of each block that stands on several unlike pages of its host, as key and n) from rows page, host, html."""
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            out = []
+            for page, host, text in zip(*(batch.column(c).to_pylist() for c in ("page", "host", "html"))):
+                blocks = blocks_of(text or "")
+                main = xxhash.xxh3_64_intdigest(main_part(blocks).encode()) - 2**63
+                out += {(page, _key(host, b.text), main) for b in telling(blocks)}
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(3)], names=["page", "key", "main"])
+
+        return step
+
+    found = scratch.save(map_batches(rows, make, "page long, key long, main long"), "blocks")
+    counts = found.select("key", "main").distinct().groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    return found.select("page", "key").distinct(), scratch.save(counts, "repeated")
+
+
+def training_blocks(rows: DataFrame, counts: DataFrame) -> list[list[Block]]:
+    """The bounded sample of pages as blocks with their counts; a threshold leaves about twice as many rows to sort."""
+    spark = rows.sparkSession
+    some = rows.where(F.length("html") > 0)
+    u = F.shiftrightunsigned(F.xxhash64("page", F.lit(31)), 11) / F.lit(float(2**53))
+    held = some.where(u < 2 * TRAIN_PAGES / max(1, some.count())).select("host", "html", "page").orderBy(F.xxhash64("page", F.lit(31)), "html").limit(TRAIN_PAGES).collect()
+    pages = [(r.host, blocks_of(r.html)) for r in held]
+    keys = {_key(host, b.text) for host, blocks in pages for b in telling(blocks)}
+    wanted = spark.createDataFrame([(k,) for k in keys], "key long")
+    n = {r.key: r.n for r in counts.join(wanted, "key").collect()}  # blocks of the sample
+    for host, blocks in pages:
+        for b in telling(blocks):
+            b.pages = n.get(_key(host, b.text), 1)
+    return [blocks for _, blocks in pages]
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", weights: tuple[float, ...] | None = None) -> DataFrame:
     """Rows page_id, url, text, n_chars; without ``weights`` they are fitted to a sample of the pages."""
-    weights = weights or fit(training_pages(pages, id_col, html_col))
-    rows = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].alias("url"), pages[html_col].alias("html"))
+    spark, scratch = pages.sparkSession, Scratch(pages.sparkSession, "pages")
+    url, body = pages[url_col], pages[html_col]
+    rows = pages.select(pages[id_col].cast("long").alias("page_id"), url.alias("url"), _host(url).alias("host"), F.xxhash64(url, body).alias("page"), body.alias("html"))
+    on_pages, counts = repeated_blocks(rows.select("page", "host", "html"), scratch)
+    weights = weights or fit(training_blocks(rows, counts))
+    known = None
+    if rows_of(counts) <= REPEATS:
+        table = counts.orderBy("key").toArrow()
+        known = spark.sparkContext.broadcast((table["key"].to_numpy(), table["n"].to_numpy()))
+        rows = rows.withColumn("repeats", F.lit(None).cast("map<bigint,bigint>"))
+    else:
+        own = on_pages.join(counts, "key").groupBy("page").agg(F.map_from_entries(F.collect_list(F.struct("key", "n"))).alias("repeats"))
+        rows = rows.join(own, "page", "left")
 
     def make():
+        keys, times = known.value if known else (None, None)
+
+        def pages_of(key: int, repeats: dict) -> int:
+            if keys is None:
+                return repeats.get(key, 1)
+            i = int(np.searchsorted(keys, key))
+            return int(times[i]) if i < len(keys) and keys[i] == key else 1
+
+        def one(host: int, page: str | None, repeats) -> str:
+            blocks, of = blocks_of(page or ""), dict(repeats or ())
+            for b in telling(blocks):
+                b.pages = pages_of(_key(host, b.text), of)
+            return chosen(blocks, weights)
+
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [main_text(h, weights) for h in batch.column("html").to_pylist()]
+            texts = [one(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "repeats")))]
             return pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
         return step
 
-    return map_batches(rows, make, "page_id long, url string, text string, n_chars long")
+    return map_batches(rows.select("page_id", "url", "host", "html", "repeats"), make, "page_id long, url string, text string, n_chars long")

@@ -235,11 +235,45 @@ def test_pages_without_an_article_element(spark):
         pages.append(f"<div><ul>{menu}</ul></div><div>{''.join(f'<p>{b}</p>' for b in body)}</div><div><p>This site uses small files to remember you, as most others do.</p><p>Some rights reserved 2024 | Imprint</p></div>")
         want.append("\n".join(body))
     telling = [f"<body><nav><a href=/>{prose(r, 2)}</a></nav><article><p>{prose(r, r.randint(8, 60)).capitalize()}.</p><p>{prose(r, r.randint(8, 60)).capitalize()}.</p></article></body>" for _ in range(20)]
-    weights = mainhtml.fit(pages + telling)
-    got = [mainhtml.main_text(p, weights) for p in pages]
+    weights = mainhtml.fit(mainhtml.counted(pages + telling))
+    got = [mainhtml.chosen(blocks, weights) for blocks in mainhtml.counted(pages)]
     assert sum(g == w for g, w in zip(got, want)) >= 57
 
 
+KEPT = ["<p class=\"comment-on-the-law\">{}</p>", "<div class=\"share-prices\"><p>{}</p></div>", "<p class=\"ad-hoc\">{}</p>", "<noscript><p>{}</p></noscript>", "<div id=\"search-for-meaning\">{}</div>", "<p class=\"no-ads lead\">{}</p>"]
+GONE = ["<div class=\"comment-list\">{}</div>", "<div class=\"article-footer\">{}</div>", "<p class=\"ad\">{}</p>", "<div class=\"shareButtons\">{}</div>", "<div id=\"cookie_banner\">{}</div>"]
+
+
+def test_words_within_class_names(spark):
+    """A name that only holds a word of boilerplate doesn't cost an article its paragraphs."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    fitted = mainhtml.fit(mainhtml.counted([r.html for r in pages.collect()]))
+    for weights in (mainhtml.PLAIN, fitted):
+        for shape in KEPT + GONE:
+            page = f"<article><p>One sentence of the text.</p>{shape.format('Another sentence that says more, and more.')}<p>A last sentence of it.</p></article>"
+            kept = ["Another sentence that says more, and more."] * (shape in KEPT)
+            assert mainhtml.main_text(page, weights) == "\n".join(["One sentence of the text.", *kept, "A last sentence of it."]), shape
+
+
+@pytest.mark.parametrize("repeats", [1_000_000, 0])
+def test_many_hosts_of_two_pages(spark, repeats, monkeypatch):
+    """What a host repeats goes, though no sample sees two of its pages and no markup tells; copies of a page repeat nothing."""
+    monkeypatch.setattr(mainhtml, "REPEATS", repeats)
+    r, rows, want = random.Random(31), [], {}
+    for host in range(1000):
+        line = prose(r, 14).capitalize() + "."
+        for k in range(2):
+            body = [prose(r, r.randint(15, 40)).capitalize() + "." for _ in range(2)]
+            html_ = f"<div><p>{line}</p></div><div><p>{body[0]}</p><p>{body[1]}</p></div>"
+            want[len(rows)] = "\n".join(body)
+            rows.append((len(rows), f"https://Host{host}.example/{k}", html_))
+    for k in range(5):  # copies under other names
+        want[len(rows)] = want[0]
+        rows.append((len(rows), f"https://host0.example/copy{k}", rows[0][2]))
+    out = {x.page_id: x.text for x in mainhtml.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)).collect()}
+    assert len(out) == len(rows) and sum(out[i] == want[i] for i in want) >= 0.98 * len(rows)
+
+
 def test_attributes_by_their_whole_names():
     shown = ['href="/hidden-gems"', "href=/hidden", 'title="A hidden lake"', "title='style = \"display:none\"'", 'data-hidden="false"', "data-hidden", 'x-class="sidebar"', 'data-id=footer title=" id=nav "', 'hidden-x', 'alt = "role=navigation"', 'a="b"title="hidden"']
     for attrs in shown:
@@ -252,13 +286,12 @@ def test_attributes_by_their_whole_names():
 
 
 def test_classifier_is_fitted(spark):
-    pages = mainhtml.training_pages(spark.read.parquet(f"{SF}/pages.parquet"))
-    assert len(pages) == 50
-    weights = mainhtml.fit([*pages, None, "", "<p>says nothing</p>"])
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    weights = mainhtml.fit(mainhtml.counted([*pages, None, "", "<p>says nothing</p>"]))
     assert mainhtml.main_text(PAGE, weights) == mainhtml.main_text(PAGE)
     plain = "<div><a href=1>Home</a></div><p>A plain page with a single sentence of text that is quite long. And another one here.</p>"
     assert mainhtml.main_text(plain, weights) == "A plain page with a single sentence of text that is quite long. And another one here."
-    assert mainhtml.fit([]) == mainhtml.fit(["<p>says nothing</p>"]) == mainhtml.PLAIN
+    assert mainhtml.fit([]) == mainhtml.fit(mainhtml.counted(["<p>says nothing</p>"])) == mainhtml.PLAIN
 
 
 def test_cut_is_minimal():
