@@ -234,6 +234,11 @@ FEATURES = ("constant", "length", "linked", "sentence", "title", "commas", "capi
 MARKUP = 4
 
 
+def again(b: Block) -> float:
+    """How much a host repeats a block. What markup calls the article's, without a doubt, may be on many pages: articles quote and copy."""
+    return 0.0 if b.node.good and not b.node.hint else min(math.log2(b.pages), 3.0)
+
+
 def features(b: Block) -> tuple[float, ...]:
     """Figures of a block's text and place, and what the markup around it says."""
     node, text, words = b.node, b.text, b.text.count(" ") + 1
@@ -242,7 +247,7 @@ def features(b: Block) -> tuple[float, ...]:
     odd = sum(map(text.count, "©|»›•#@")) / words
     return (
         1.0, min(words, 40) / 40, b.linked / len(text), float(sentence), float(node.tag == "h1"),
-        min(text.count(",") / words, 0.5), capitals, min(odd, 1.0), min(math.log2(b.pages), 3.0), float(node.good), float(node.bad), float(node.form), float(node.hint),
+        min(text.count(",") / words, 0.5), capitals, min(odd, 1.0), again(b), float(node.good), float(node.bad), float(node.form), float(node.hint),
     )
 
 
@@ -269,19 +274,19 @@ def main_part(blocks: list[Block]) -> str:
 def labelled(pages: list[list[Block]]) -> tuple[list[tuple[float, ...]], list[float]]:
     """Features and labels of the blocks that are known to be content or not.
 
-    What stands on several unlike pages of its host is the site's and not the article's, whatever its markup; of the
+    Outside articles, what stands on several unlike pages of its host is the site's; of the
     rest, blocks in articles are content, those in menus, forms and the like aren't.
     """
     rows, labels, shown = [], [], Counter()
     for blocks in pages:
         for b in blocks:
-            again = b.pages >= PAGES
-            if again and shown[b.text] == SHOWN:
+            site = b.pages >= PAGES and again(b) > 0
+            if site and shown[b.text] == SHOWN:
                 continue
             shown[b.text] += 1
-            if again or b.node.good or b.node.bad or b.node.form:
+            if site or b.node.good or b.node.bad or b.node.form:
                 rows.append(features(b))
-                labels.append(float(b.node.good and not again and not b.node.bad and not b.node.form))
+                labels.append(float(b.node.good and not site and not b.node.bad and not b.node.form))
     return rows, labels
 
 

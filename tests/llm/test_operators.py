@@ -255,6 +255,17 @@ def test_words_within_class_names(spark):
             assert mainhtml.main_text(page, weights) == "\n".join(["One sentence of the text.", *kept, "A last sentence of it."]), shape
 
 
+def test_articles_keep_what_they_share():
+    """Paragraphs of articles that many pages of a host have stay; the same words outside go."""
+    r = random.Random(33)
+    shared = [prose(r, 20).capitalize() + "." for _ in range(2)]
+    pages = [f"<div><p>{shared[0]}</p></div><article><h1>{prose(r, 4)}</h1><p>{prose(r, 30)}.</p><p>{shared[1]}</p></article>" for _ in range(40)]
+    blocks = mainhtml.counted(pages)
+    for weights in (mainhtml.PLAIN, mainhtml.fit(blocks)):
+        texts = [mainhtml.chosen(b, weights).split("\n") for b in blocks]
+        assert all(len(t) == 3 and t[2] == shared[1] and shared[0] not in t for t in texts)
+
+
 @pytest.mark.parametrize("repeats", [1_000_000, 0])
 def test_many_hosts_of_two_pages(spark, repeats, monkeypatch):
     """What a host repeats goes, though no sample sees two of its pages and no markup tells; copies of a page repeat nothing."""
