@@ -68,7 +68,7 @@ def may_match(folded: Column, need) -> Column:
 
 #: Characters that are equal, where case is ignored, to a Latin or Cyrillic letter that lower case doesn't make of them.
 _ALIKE = "\u0130\u0131\u017f\u212a\u1c80\u1c81\u1c82\u1c83\u1c84\u1c85\u1c86"
-_LETTERS = "iiskвдостть"
+_LETTERS = "iiskвдосттъ"
 
 
 def folded_case(text: Column) -> Column:
