@@ -16,6 +16,7 @@ from .operators.ledger import Ledger
 from .plans import guard, pii, review
 from .session import build_session
 from .sources import readers, writers
+from .sources.order import number_rows
 
 
 def parser() -> argparse.ArgumentParser:
@@ -109,13 +110,11 @@ def _classed(rows):
 
 def run_guard(spark, o) -> dict:
     began = time.time()
-    if "split" in spark.read.parquet(o.input).columns:
-        train, test = readers.read_splits(spark, o.input, o.train_sample)
-    else:
-        test = spark.read.parquet(o.input)
-        train = test.limit(0)
+    rows = number_rows(spark.read.parquet(o.input), "_line")
+    by = "row_id" if "row_id" in rows.columns else "_line"
+    train, test = readers.splits_of(rows, o.train_sample, by) if "split" in rows.columns else (rows.limit(0), rows)
     if o.test_sample:
-        test = (test.orderBy("row_id") if "row_id" in test.columns else test).limit(o.test_sample)
+        test = test.orderBy(by).limit(o.test_sample)
     # both splits are scored in one pass; without calibration the train split isn't needed
     prompts = test.withColumn("_part", F.lit("test"))
     if o.calibrate:
@@ -126,7 +125,8 @@ def run_guard(spark, o) -> dict:
         t.df.write.mode("overwrite").parquet(f"{o.output_dir}/scored")
     every = spark.read.parquet(f"{o.output_dir}/scored")
     scored = every.where("_part = 'test'").drop("_part")
-    writers.write_jsonl(scored.select("text", "p1", "raw_label"), f"{o.output_dir}/raw_predictions")
+    # in the order of the input's files and rows: what is sorted by ranges is written in parts of that order
+    writers.write_jsonl(scored.orderBy("_line").select("text", "p1", "raw_label"), f"{o.output_dir}/raw_predictions")
     low, high = _calibrated(spark, every.where("_part = 'train'"), o.thresholds, o.calibrate)
     decided = guard.decisions(scored, guard.GuardSettings(low, high))
     decided.write.mode("overwrite").parquet(f"{o.output_dir}/decisions")

@@ -11,6 +11,7 @@ from ..functions import fixed_values as V
 from ..functions.replies import parse_spans
 from ..operators.tables import keep_first, keep_last, not_blank, stratified_head  # noqa: F401
 from ..plans.pii import RECORD
+from .order import number_rows
 
 DOCUMENTS = "uid string, doc_id string, text string, document_type string, document_format string, domain string, locale string, spans string"
 PREDICTIONS = "doc_id string, entities array<struct<label:string,start:int,end:int,score:double>>"
@@ -19,18 +20,9 @@ STAGE1 = "unique_id long, verdict string, parse_error boolean"
 STAGE2 = "unique_id long, verdict string, cwe_id string, mechanism string, fixed_code string, justification string, parse_error boolean, invalid_cwe_id boolean, cwe_invalid_reason string"
 
 
-def in_line_order(df: DataFrame, name: str = "line") -> DataFrame:
-    """Adds where a row of a text file stands: its file, its split's first byte and its place in that.
-
-    Row numbers alone would follow how Spark packs splits into tasks, largest files first.
-    """
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
-    return df.select("*", place.alias(name))
-
-
 def read_stage(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A stage's lines with their ``line``; of the lines of an id the last one counts."""
-    return in_line_order(read_jsonl(spark, path, schema))
+    return number_rows(read_jsonl(spark, path, schema))
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -57,7 +49,10 @@ def read_documents(spark: SparkSession, path: str, n: int | None = None, stratif
 
 def read_splits(spark: SparkSession, path: str, train_sample: int | None = None, row_id: str = "row_id") -> tuple[DataFrame, DataFrame]:
     """(train, test) of prompts with a ``split`` column."""
-    df = spark.read.parquet(path)
+    return splits_of(spark.read.parquet(path), train_sample, row_id)
+
+
+def splits_of(df: DataFrame, train_sample: int | None = None, row_id: str = "row_id") -> tuple[DataFrame, DataFrame]:
     train = df.where(F.col("split") == "train")
     return train if train_sample is None else train.orderBy(row_id).limit(train_sample), df.where(F.col("split") == "test")
 
@@ -71,14 +66,14 @@ def gold_spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def predicted_spans(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, labels of a JSONL of records; the last line of a document wins, no entities are none."""
-    last = keep_last(in_line_order(read_jsonl(spark, path, PREDICTIONS)), "doc_id", "line")
+    last = keep_last(number_rows(read_jsonl(spark, path, PREDICTIONS)), "doc_id", "line")
     return last.select("doc_id", F.coalesce(F.transform("entities", lambda e: e["label"]), F.array().cast("array<string>")).alias("labels"))
 
 
 def read_code(spark: SparkSession, path: str) -> DataFrame:
     """unique_id, code of a CSV with quoted line ends: rows with code, the first of each id."""
     rows = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').schema("unique_id long, code string").csv(path)
-    rows = in_line_order(rows, "row_id").where(~F.coalesce(F.col("code").isin(*V.MISSING), F.lit(False)))
+    rows = number_rows(rows, "row_id").where(~F.coalesce(F.col("code").isin(*V.MISSING), F.lit(False)))
     return keep_first(not_blank(rows, "code"), "unique_id", "row_id").drop("row_id")
 
 
