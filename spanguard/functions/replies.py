@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from . import fixed_values as V
-from .text import let
+from .text import BLANK, let
 
 FIELDS = ("verdict", "cwe_id", "mechanism", "fixed_code", "justification")
 #: Types are objects, as a worker that loads this module can't parse them from text.
@@ -70,13 +70,12 @@ def _analysis_in_python(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=[*FIELDS, "parse_error"])
 
 
-#: The white space that is stripped, and what both readers of JSON may take differently (lone surrogates, endless numbers, separators).
-_BLANK = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+#: Fixed value: what both readers of JSON may take differently (lone surrogates, endless numbers, separators).
 _ODD = r"\\u[dD][89a-fA-F]|[0-9]{300}|[\x1c-\x1f]"
 
 
 def _stripped(value: Column) -> Column:
-    return F.regexp_replace(value, f"^{_BLANK}|{_BLANK}$", "")
+    return F.regexp_replace(value, f"^{BLANK}|{BLANK}$", "")
 
 
 def _braced(text: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -155,11 +156,54 @@ def normalize_ascii(value: Column) -> Column:
 
 
 @F.pandas_udf(StringType())
-def normalize_value(values: pd.Series) -> pd.Series:
-    """Compatibility form, case folded, white space collapsed and trimmed, for any text."""
+def _normalize_in_python(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else " ".join(unicodedata.normalize("NFKC", v).casefold().split()))
 
 
+@cache
+def folding() -> tuple[str, str, str]:
+    """Characters that fold to another one, what they fold to, and a pattern of those that a table of single characters can't fold.
+
+    The latter fold to several, or meet a neighbour when composed: marks, vowels and finals of Hangul and other second
+    halves of composed characters. By rule from ``unicodedata``.
+    """
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    pairs = [d.split() for c in every if (d := unicodedata.decomposition(c)) and d[0] != "<"]
+    second = {chr(int(d[1], 16)) for d in pairs if len(d) == 2} | set(map(chr, range(0x1161, 0x1176))) | set(map(chr, range(0x11A8, 0x11C3)))
+    one, to, hard = [], [], []
+    for c in every:
+        folded = unicodedata.normalize("NFKC", c).casefold()
+        if len(folded) != 1 or any(x in second or unicodedata.combining(x) for x in (c, *unicodedata.normalize("NFKC", c))):
+            hard.append(ord(c))
+        elif folded != c:
+            one.append(c)
+            to.append(folded)
+    ranges, start = [], hard[0]
+    for x, y in zip(hard, [*hard[1:], None]):
+        if y != x + 1:
+            ranges.append(f"\\x{{{start:x}}}-\\x{{{x:x}}}")
+            start = y
+    return "".join(one), "".join(to), f"[{''.join(ranges)}]"
+
+
+#: White space as Python splits at it, and letters whose case a column's ``lower`` folds alike.
+BLANK = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+_PLAIN = r"^[\x00-\x7f\u0400-\u045f]*$"
+
+
+def normalize_value(value: Column | str) -> Column:
+    """Compatibility form, case folded, white space collapsed and trimmed, for any text.
+
+    ASCII and Cyrillic fold by ``lower``, other characters that fold by themselves by a table; Python composes the rest.
+    """
+    value = F.col(value) if isinstance(value, str) else value
+    one, to, hard = folding()
+    plain = value.rlike(_PLAIN)
+    native = F.when(plain, F.lower(value)).when(~value.rlike(hard), F.translate(value, one, to))
+    rest = _normalize_in_python(F.when(~plain & value.rlike(hard), value))
+    return F.coalesce(F.trim(F.regexp_replace(native, BLANK, " ")), rest)
+
+
 def seed_of(doc_id: Column, value: Column, category: Column) -> Column:
     return F.sha2(F.concat(doc_id, F.lit(":"), value, F.lit(":"), category), 256)
 
