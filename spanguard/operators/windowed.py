@@ -49,16 +49,15 @@ def cut_parts(texts: pd.Series, bounds: pd.Series) -> pd.Series:
 
 
 def window_rows(docs: DataFrame, tokens: Callable[[Column], Column], size: int = 512, overlap: int = 64, key: str = "_row") -> DataFrame:
-    """Rows ``key``, window, pieces (the window's tokens), offsets (their start and end in the whole text)."""
+    """Rows ``key``, window, part (the window's text), starts and ends of its tokens in the whole text."""
     rows = docs.select(key, "text", tokens(F.col("text")).alias("_tokens")).where("_tokens is not null")
     own = lambda w: F.slice(F.col("_tokens"), w["token_start"] + 1, w["token_end"] - w["token_start"])
     place = lambda t: F.struct(t["start"].cast("int").alias("start"), t["end"].cast("int").alias("end"))
     rows = rows.select(key, "text", F.transform(windows(F.size("_tokens"), size, overlap), lambda w: F.transform(own(w), place)).alias("w"))
     ends = F.transform("w", lambda o: F.struct(F.coalesce(F.get(o, F.lit(0))["start"], F.lit(0)).alias("start"), F.coalesce(F.try_element_at(o, F.lit(-1))["end"], F.lit(0)).alias("end")))
     rows = rows.select(key, "w", cut_parts("text", ends).alias("t"))
-    each = F.transform("w", lambda o, i: F.struct(i.alias("window"), o.alias("offsets"), F.get("t", i).alias("part")))
-    piece = lambda o: F.substring(F.col("part"), o["start"] - F.col("offsets")[0]["start"] + 1, o["end"] - o["start"])
-    return rows.select(key, F.inline(each)).select(key, "window", F.transform("offsets", piece).alias("pieces"), "offsets")
+    each = F.transform("w", lambda o, i: F.struct(i.alias("window"), F.get("t", i).alias("part"), F.transform(o, lambda x: x["start"]).alias("starts"), F.transform(o, lambda x: x["end"]).alias("ends")))
+    return rows.select(key, F.inline(each))
 
 
 def in_frames(predict: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], batch_size: int):
@@ -114,8 +113,10 @@ def tag_documents(docs: DataFrame, tokens: Callable[[Column], Column], predict:
     rows = scratch.save(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     each = window_rows(rows, tokens, size, overlap).repartition(n, F.xxhash64("_row", "window"))
-    each = each.withColumn("p", in_frames(predict, batch_size)("pieces"))
-    tagged = F.transform("offsets", lambda o, i: F.struct(F.get(F.col("p.tags"), i).alias("tag"), o["start"].alias("start"), o["end"].alias("end"), F.get(F.col("p.scores"), i).alias("score")))
+    end = lambda i: F.get(F.col("ends"), i)
+    pieces = F.transform("starts", lambda s, i: F.substring(F.col("part"), s - F.col("starts")[0] + 1, end(i) - s))
+    each = each.withColumn("p", in_frames(predict, batch_size)(pieces))
+    tagged = F.transform("starts", lambda s, i: F.struct(F.get(F.col("p.tags"), i).alias("tag"), s.alias("start"), end(i).alias("end"), F.get(F.col("p.scores"), i).alias("score")))
     failed = F.col("p.tags").isNull()
     spans = F.when(failed, F.array().cast(SPAN_TYPE)).otherwise(decode_tags(tagged))
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=FRAMES * batch_size):
