@@ -50,7 +50,8 @@ def cut_parts(texts: pd.Series, bounds: pd.Series) -> pd.Series:
 
 def window_rows(docs: DataFrame, tokens: Callable[[Column], Column], size: int = 512, overlap: int = 64, key: str = "_row") -> DataFrame:
     """Rows ``key``, window, part (the window's text), starts and ends of its tokens in the whole text."""
-    rows = docs.select(key, "text", tokens(F.col("text")).alias("_tokens")).where("_tokens is not null")
+    # a filter on tokens would find them once more
+    rows = docs.where("text is not null").select(key, "text", tokens(F.col("text")).alias("_tokens"))
     own = lambda w: F.slice(F.col("_tokens"), w["token_start"] + 1, w["token_end"] - w["token_start"])
     place = lambda t: F.struct(t["start"].cast("int").alias("start"), t["end"].cast("int").alias("end"))
     rows = rows.select(key, "text", F.transform(windows(F.size("_tokens"), size, overlap), lambda w: F.transform(own(w), place)).alias("w"))
