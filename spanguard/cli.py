@@ -87,7 +87,7 @@ def run_anonymize(spark, o) -> dict:
     final = pii.sanitized(records)
     writers.write_jsonl(final, f"{o.output_dir}/final")
     out = pii.summary(records, settings, time.time() - began).first().asDict()
-    if out["total_documents"] <= writers.DRIVER_ROWS:  # what one file may hold; the lines have all
+    if out["total_documents"] <= writers.FILE_ROWS:  # what one file may hold; the lines have all
         writers.write_json_array(final, f"{o.output_dir}/final.json")
         writers.write_spreadsheet(final, f"{o.output_dir}/final.xlsx")
     writers.write_json(spark, out, f"{o.output_dir}/summary.json")
@@ -135,7 +135,7 @@ def run_guard(spark, o) -> dict:
     writers.write_csv(table, f"{o.output_dir}/results")
     out = guard.statistics(decided).first().asDict() | {"broken_rules": {r.rule: r.n for r in validation.broken(decided, validation.decision_rules()).collect()}}
     out |= {"t_low": low, "t_high": high, "elapsed_seconds": round(time.time() - began, 2), "inference": t.report()}
-    if out["total"] <= writers.DRIVER_ROWS:
+    if out["total"] <= writers.FILE_ROWS:
         out["workbook"] = writers.write_spreadsheet(table, f"{o.output_dir}/results.xlsx")
     if o.evaluate:
         out["metrics"] = metrics.binary_metrics(_classed(scored)).first().asDict()
@@ -195,7 +195,7 @@ def run_review(spark, o) -> dict:
     merged.write.mode("overwrite").parquet(f"{o.output_dir}/merged")
     merged = spark.read.parquet(f"{o.output_dir}/merged").orderBy("unique_id")
     writers.write_csv(merged, f"{o.output_dir}/results")
-    if merged.count() <= writers.DRIVER_ROWS:
+    if merged.count() <= writers.FILE_ROWS:
         writers.write_spreadsheet(merged, f"{o.output_dir}/results.xlsx")
     return {r.rule: r.n for r in validation.broken(merged, validation.review_rules()).collect()}
 
