@@ -452,6 +452,44 @@ def test_near_duplicates_hard_cases(docs_of):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("percent,trees,levels", [(80, 5, 1), (85, 3, 2)])
+def test_missed_pairs_as_simulated(percent, trees, levels):
+    """The closed form against draws of coordinates that agree, first ones and bands among them."""
+    r, n = np.random.default_rng(5), 40_000
+    agree = r.random((n, neardup.COORDS)) < percent / 100
+    met = np.zeros(n, bool)
+    for t in range(trees):
+        own = agree[:, t].copy()
+        for _ in range(levels):
+            at = r.integers(0, neardup.COORDS, (n, neardup.BRANCHES, neardup.BAND))
+            own &= np.take_along_axis(agree[:, None, :], at, 2).all(2).any(1)
+        met |= own
+    expected = neardup.missed(percent, trees, levels)
+    assert abs((~met).mean() - expected) < 5 * (expected / n) ** 0.5
+    assert neardup.missed(85, neardup.trees_for(85)) <= neardup.MISS and neardup.trees_for(100) == 1
+
+
+def test_measured_recall(spark, docs_of):
+    """Links of sampled documents, counted by pairs; a result that connects nothing has none of them."""
+    r = random.Random(8)
+    texts = []
+    for i in range(12):
+        words = [f"w{r.randrange(10**6)}" for _ in range(60)]
+        texts += [" ".join(words), " ".join([*words[:-1], f"x{i}"]), " ".join(words)][: 1 + i % 3]
+    texts += [None, "", "one", "one"]
+    docs = docs_of(texts)
+    found = neardup.near_duplicates(docs, 3, 85)
+    sets = [set(neardup.shingle_set(t, 3, neardup._Words())) for t in texts]
+    distinct = {t for t, s in zip(texts, sets) if s}
+    own = {t: texts.index(t) for t in distinct}
+    pairs = sum(100 * len(sets[i] & s) >= 85 * len(sets[i] | s) for t, i in own.items() for j, s in enumerate(sets) if j != i and s)
+    assert tuple(neardup.measured_recall(docs, found, 3, 85).first()) == (len(distinct), pairs, pairs) and pairs > 10
+    apart = found.withColumn("component_id", F.col("doc_id"))
+    assert tuple(neardup.measured_recall(docs, apart, 3, 85).first()) == (len(distinct), pairs, 0)
+    assert tuple(neardup.measured_recall(docs.limit(0), found.limit(0), 3, 85).first()) == (0, 0, 0)
+
+
+
 def test_components(spark):
     r = random.Random(10)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)] + [(500, i) for i in range(501, 560)] + [(7, 7)]
