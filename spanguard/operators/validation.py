@@ -57,7 +57,17 @@ def review_rules() -> dict[str, Column]:
     }
 
 
+def sought(label: Column, original: Column, least: int = 5) -> Column:
+    """Whether a leak check looks for a value: e-mails and cards of some length."""
+    return (F.length(original) >= least) & ((label == "EMAIL") | ((label == "CARD_NUMBER") & is_card(original)))
+
+
+def beside_originals(records: DataFrame, originals: DataFrame, least: int = 5) -> DataFrame:
+    """Original e-mails and cards (doc_id, label, original) beside the text of their document, and whether it is ``leaked``."""
+    worth = originals.where(sought(F.col("label"), F.col("original"), least))
+    return worth.join(records.select("doc_id", "anonymized_text"), "doc_id").withColumn("leaked", F.contains("anonymized_text", "original"))
+
+
 def leaks(records: DataFrame, originals: DataFrame, least: int = 5) -> DataFrame:
     """Original e-mails and cards (doc_id, label, original) that still stand in the final text of their document."""
-    worth = originals.where((F.length("original") >= least) & ((F.col("label") == "EMAIL") | ((F.col("label") == "CARD_NUMBER") & is_card(F.col("original")))))
-    return worth.join(records.select("doc_id", "anonymized_text"), "doc_id").where(F.contains("anonymized_text", "original"))
+    return beside_originals(records, originals, least).where("leaked").drop("leaked")

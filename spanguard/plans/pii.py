@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions import text as T
 from ..operators import spans as S
+from ..operators import validation as C
 
 RECORD = (
     "doc_id string, document_type string, entities array<struct<entity_id:string,label:string,start:int,end:int,score:double,needs_review:boolean>>, "
@@ -108,9 +109,24 @@ def without_originals(replacements: Column) -> Column:
     return F.transform_values(replacements, lambda k, v: v.withField("original", F.lit("")))
 
 
+def found_values() -> Column:
+    """Array of (label, original) of a record's entities, which stand in the order of its replacements."""
+    return F.zip_with("entities", F.map_values("replacements"), lambda e, r: F.struct(e["label"].alias("label"), r["original"].alias("original")))
+
+
+def swept(text: Column) -> Column:
+    """A record's final text without the e-mails and cards that were found in it.
+
+    A copy of one may stand where no pattern matches it: a card before further digits, an e-mail behind the last letter of a
+    mask. Such copies become stars, which no value holds, so that no new copy comes up.
+    """
+    values = F.array_distinct(F.transform(F.filter(found_values(), lambda x: C.sought(x["label"], x["original"])), lambda x: x["original"]))
+    return F.aggregate(values, text, lambda acc, v: F.replace(acc, v, F.repeat(F.lit("*"), F.length(v))))
+
+
 def sanitized(records: DataFrame) -> DataFrame:
-    """The final artifact: the same records without the originals."""
-    return records.withColumn("replacements", without_originals(F.col("replacements")))
+    """The final artifact: the same records without the originals, neither in the replacements nor anywhere in the text."""
+    return records.withColumns({"anonymized_text": swept(F.col("anonymized_text")), "replacements": without_originals(F.col("replacements"))})
 
 
 def registry(values: DataFrame, normalizer=None) -> DataFrame:

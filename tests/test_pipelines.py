@@ -5,6 +5,7 @@ import json
 import pathlib
 import zipfile
 
+import duckdb
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from spanguard.functions import fixed_values as V
 from spanguard.functions import guard as G
 from spanguard.functions import replies as R
 from spanguard.operators import metrics, models, tables, validation
-from spanguard.plans import guard, pii, reports, review
+from spanguard.plans import catalog, guard, pii, reports, review
 from spanguard.sources import readers, writers
 from spanguard.streaming import streams
 
@@ -67,6 +68,19 @@ def test_records_are_valid_and_final_has_no_originals(spark):
     assert {r.rule for r in validation.broken(bad, validation.record_rules(bad)).collect()} == {"doc_id_empty", "text_missing"}
 
 
+def test_leak_check_of_copies_that_no_pattern_matches_and_of_odd_ids(spark, tmp_path):
+    """A card before further digits, an e-mail behind a mask's last letter, an id on two rows, a row without one."""
+    card = "4111111111111111"
+    rows = [(1, f"pay {card}, again {card} 202 x"), (2, "b@c.de and a.b@c.de end"), (3, f"{card} x@y.zz"), (3, f"{card} x@y.zz"), (None, f"{card} q@y.zz"), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(map(tuple, catalog.pii_leak_check(spark, str(tmp_path)).collect())) == sorted(duck.execute(catalog.ORACLE_SQL["pii_leak_check"]).fetchall())
+    final = {r.doc_id: r.anonymized_text for r in pii.sanitized(pii.anonymize(docs)).collect()}
+    assert final["1"] == f"pay ************1111, again {'*' * 16} 202 x" and final["2"] == "b*@c.de and a******* end" and final["5"] is None
+
+
 def test_tagger_with_windows(spark):
     docs = spark.createDataFrame([("a", "one Bob Ray two Bob Ray x@y.zz three")], "uid string, text string")
 
