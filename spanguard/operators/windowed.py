@@ -14,15 +14,16 @@ from collections import deque
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
 from ..functions.text import SPAN_TYPE
 from ..scratch import Scratch
 from ..session import ship
-from .spans import decode_tags, merge_spans, windows
+from .spans import merge_spans
 
 #: Frames that an Arrow batch holds.
 FRAMES = 8
@@ -42,49 +43,95 @@ def settings(spark: SparkSession, **values):
             spark.conf.unset(names[k]) if v is None else spark.conf.set(names[k], v)
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def cut_parts(texts: pd.Series, bounds: pd.Series) -> pd.Series:
-    """The parts (start, end) of each text, in one pass: a column's substring counts characters from the text's start each time."""
-    return pd.Series([None if t is None or of is None else [t[p["start"] : p["end"]] for p in of] for t, of in zip(texts, bounds)])
-
-
 def window_rows(docs: DataFrame, tokens: Callable[[Column], Column], size: int = 512, overlap: int = 64, key: str = "_row") -> DataFrame:
-    """Rows ``key``, window, part (the window's text), starts and ends of its tokens in the whole text."""
+    """Rows ``key``, window, start (of its first token, in the whole text), part (the window's text) and places.
+
+    Places are the tokens as pairs of the gap before one and its length, integers of as many bytes as the document's largest needs.
+    """
+    stride = size - overlap
+    if stride <= 0:
+        raise ValueError("the overlap must be smaller than the window")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[tuple] = []
+            for k, text, found in zip(b.column(key).to_pylist(), b.column("text"), b.column("_tokens")):
+                text, found = text.as_py(), found.values
+                starts, ends = (np.asarray(() if found is None else found.field(f).cast(pa.int32()), np.int32) for f in ("start", "end"))
+                pairs = np.column_stack([np.diff(starts, prepend=0), ends - starts]).astype(np.int32)
+                pairs[1:, 0] -= pairs[:-1, 1]
+                pairs = pairs.astype(next(t for t in (np.int8, np.int16, np.int32) if not len(pairs) or np.iinfo(t).min <= pairs.min() and pairs.max() <= np.iinfo(t).max))
+                for w in range(-(-max(len(starts) - size, 0) // stride) + 1):
+                    x, y = w * stride, min(w * stride + size, len(starts))
+                    start, end = (int(starts[x]), int(ends[y - 1])) if x < y else (0, 0)
+                    out.append((k, w, start, text[start:end], pairs[x:y].tobytes(), pairs.itemsize))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)] if out else [pa.array([], t) for t in kinds], names)
+
+    names, kinds = [key, "window", "start", "part", "places", "bytes"], [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.binary(), pa.int32()]
     # a filter on tokens would find them once more
     rows = docs.where("text is not null").select(key, "text", tokens(F.col("text")).alias("_tokens"))
-    own = lambda w: F.slice(F.col("_tokens"), w["token_start"] + 1, w["token_end"] - w["token_start"])
-    place = lambda t: F.struct(t["start"].cast("int").alias("start"), t["end"].cast("int").alias("end"))
-    rows = rows.select(key, "text", F.transform(windows(F.size("_tokens"), size, overlap), lambda w: F.transform(own(w), place)).alias("w"))
-    ends = F.transform("w", lambda o: F.struct(F.coalesce(F.get(o, F.lit(0))["start"], F.lit(0)).alias("start"), F.coalesce(F.try_element_at(o, F.lit(-1))["end"], F.lit(0)).alias("end")))
-    rows = rows.select(key, "w", cut_parts("text", ends).alias("t"))
-    each = F.transform("w", lambda o, i: F.struct(i.alias("window"), F.get("t", i).alias("part"), F.transform(o, lambda x: x["start"]).alias("starts"), F.transform(o, lambda x: x["end"]).alias("ends")))
-    return rows.select(key, F.inline(each))
-
-
-def in_frames(predict: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], batch_size: int):
-    """A column function that gives a model frames of at most ``batch_size`` windows."""
-    kind = StructType([StructField("tags", ArrayType(StringType())), StructField("scores", ArrayType(DoubleType()))])
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        waiting: deque[int] = deque()
+    return rows.mapInArrow(cut, f"{key} long, window int, start int, part string, places binary, bytes int")
+
+
+def decoded(tags, scores, bounds: list[int], first: int) -> list[dict]:
+    """What ``spans.decode_tags`` gives of one window: only tokens that carry a label are looked at, as any other closes what is open."""
+    out, open_ = [], None
+    for i, tag in enumerate(tags):
+        if not tag or tag[0] == "O" or "-" not in tag or 2 * i >= len(bounds):
+            continue
+        kind, _, label = tag.partition("-")
+        score = scores[i] if scores is not None and i < len(scores) else None
+        score = None if score is None else float(score)
+        start, end = first + bounds[2 * i], first + bounds[2 * i + 1]
+        goes_on = open_ is not None and open_[0] == i and open_[1] == label
+        if kind == "S" or kind == "E" and goes_on:
+            n, total = (0, 0.0) if kind == "S" else (open_[3], open_[4])
+            mean = None if score is None or total is None else score if kind == "S" else (total + score) / (n + 1)
+            out.append({"label": label, "start": start if kind == "S" else open_[2], "end": end, "score": mean})
+            open_ = None
+        elif kind == "B":
+            open_ = (i + 1, label, start, 1, score)
+        elif kind == "I" and goes_on:
+            open_ = (i + 1, label, open_[2], open_[3] + 1, None if score is None or open_[4] is None else open_[4] + score)
+        else:
+            open_ = None
+    return out
+
+
+def tag_rows(rows: DataFrame, predict: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], batch_size: int, key: str = "_row") -> DataFrame:
+    """Rows ``key``, window, failed, spans of the windows that a model failed on or found something in; it gets frames of at most ``batch_size``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: deque[list[tuple]] = deque()
 
         def frames() -> Iterator[pd.DataFrame]:
             for b in batches:
-                parts = [b.iloc[i : i + batch_size] for i in range(0, len(b), batch_size)] or [b]
-                waiting.append(len(parts))
-                for p in parts:
-                    yield pd.DataFrame({"pieces": p.reset_index(drop=True)})
+                rows = list(zip(*(b.column(c).to_pylist() for c in (key, "window", "start", "part", "places", "bytes"))))
+                for i in range(0, len(rows), batch_size):
+                    held, pieces = [], []
+                    for k, w, start, part, places, n in rows[i : i + batch_size]:
+                        steps = np.frombuffer(places, f"i{n}")
+                        bounds = (steps.cumsum(dtype=np.int64) - steps[:1].sum(dtype=np.int64)).tolist()  # the first gap lies before the part
+                        held.append((k, w, start, bounds))
+                        pieces.append([part[x:y] for x, y in zip(bounds[::2], bounds[1::2])])
+                    waiting.append(held)
+                    yield pd.DataFrame({"pieces": pd.Series(pieces, dtype=object)})
 
-        held: list[pd.DataFrame] = []
         for found in predict(frames()):
-            held.append(found)
-            if len(held) == waiting[0]:
-                waiting.popleft()
-                yield pd.concat(held, ignore_index=True)
-                held = []
-
-    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return F.pandas_udf(run, kind)
+            held, out = waiting.popleft(), []
+            if len(found) != len(held):
+                raise ValueError(f"the model gave {len(found)} rows for {len(held)} windows")
+            for (k, w, start, bounds), tags, scores in zip(held, found["tags"], found["scores"]):
+                failed = not hasattr(tags, "__len__")
+                spans = [] if failed else decoded(tags, scores if hasattr(scores, "__len__") else None, bounds, start)
+                if failed or spans:
+                    out.append((k, w, failed, spans))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], [key, "window", "failed", "spans"])
+
+    span = pa.struct([("label", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])
+    kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.list_(span)]
+    return rows.mapInArrow(run, f"{key} long, window int, failed boolean, spans {SPAN_TYPE}")
 
 
 def fold_windows(found: DataFrame, key: str = "_row") -> DataFrame:
@@ -114,14 +161,8 @@ def tag_documents(docs: DataFrame, tokens: Callable[[Column], Column], predict:
     rows = scratch.save(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     each = window_rows(rows, tokens, size, overlap).repartition(n, F.xxhash64("_row", "window"))
-    end = lambda i: F.get(F.col("ends"), i)
-    pieces = F.transform("starts", lambda s, i: F.substring(F.col("part"), s - F.col("starts")[0] + 1, end(i) - s))
-    each = each.withColumn("p", in_frames(predict, batch_size)(pieces))
-    tagged = F.transform("starts", lambda s, i: F.struct(F.get(F.col("p.tags"), i).alias("tag"), s.alias("start"), end(i).alias("end"), F.get(F.col("p.scores"), i).alias("score")))
-    failed = F.col("p.tags").isNull()
-    spans = F.when(failed, F.array().cast(SPAN_TYPE)).otherwise(decode_tags(tagged))
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=FRAMES * batch_size):
-        found = scratch.save(each.select("_row", "window", failed.alias("failed"), spans.alias("spans")), "found")
+        found = scratch.save(tag_rows(each, predict, batch_size), "found")
     errors = found.where("failed").select("_row", F.lit(True).alias("_failed")).distinct()
     out = rows.join(fold_windows(found), "_row", "left").join(errors, "_row", "left")
     error, none = F.coalesce("_failed", F.lit(False)), F.array().cast(SPAN_TYPE)

@@ -80,6 +80,44 @@ def test_window_rows_equal_the_fold(spark):
     assert w >= 9_998 and [(s.start, s.end, s.label, s.score) for s in rows[34].model_entities] == kept
 
 
+def test_words_read_off_bytes_equal_the_pattern(spark):
+    r = random.Random(4)
+    texts = [None, "", " ", "a", " \t\n\x0b\f\r", "\x08\x0e\x1c\x85\xa0", "é ß\n中文 😀x  ", *("".join(r.choices(" \t\n\ra1é中😀\u2003", k=r.randint(1, 60))) for _ in range(200))]
+    docs = spark.createDataFrame([(t,) for t in texts], "t string")
+    places = F.coalesce(T.word_spans("t"), F.array().cast("array<struct<start:int,end:int>>"))
+    for x in docs.select("t", places.alias("a"), TOKENS(F.col("t")).alias("b")).collect():
+        assert [(s.start, s.end) for s in x.a] == [(s.start, s.end) for s in x.b], x.t
+
+
+def test_windows_hold_few_bytes_a_token(spark):
+    """A window's text and two bytes a token are dealt, not two arrays of offsets; a wide gap or a long token costs its document more."""
+    texts = [random_text(random.Random(2), 3_000), "a " * 20 + " " * 300 + "b " * 20, "a " * 20 + "b" * 40_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "_row long, text string")
+    rows = windowed.window_rows(docs, T.word_spans, 8, 2).collect()
+    assert {r.bytes for r in rows if r._row == 0} == {1} and max(len(r.places) for r in rows if r._row == 0) == 16
+    assert {r.bytes for r in rows if r._row == 1} == {2} and {r.bytes for r in rows if r._row == 2} == {4}
+    assert all(r.part == texts[r._row][r.start : r.start + len(r.part)] for r in rows)
+
+
+def test_any_tags_are_decoded_as_by_the_fold(spark):
+    def odd(pieces, k):
+        r = random.Random(f"{k}{''.join(pieces)}")
+        return r.choices(["O", "O-a", "", None, "x", "B-a", "I-a", "E-a", "S-a", "B-b", "I-b-c", "E-b", "S-b", "X-a", "-a"], [2, 1, 1, 1, 1, 6, 6, 6, 2, 3, 1, 3, 1, 1, 1], k=len(pieces) - k)
+
+    def by_rows(of):
+        def predict(frames):
+            for f in frames:
+                yield pd.DataFrame({"tags": [of(p, odd) for p in f["pieces"]], "scores": [of(p, lambda q, k: [i % 4 / 4 for i in range(len(q))]) for p in f["pieces"]]})
+
+        return predict
+
+    docs = spark.createDataFrame([(i, random_text(random.Random(i), 6)) for i in range(120)], "doc_id long, text string")
+    short = lambda p, f: f(list(p), 0 if len(p) < 3 else 1)
+    got = {r.doc_id: r.model_entities for r in windowed.tag_documents(docs, T.word_spans, by_rows(short), 8, 2).collect()}
+    fold = models.tag_windows(docs, TOKENS, by_rows(lambda p, f: [short(w, f) for w in p]), 8, 2).withColumn("m", S.merge_spans(F.flatten("model_spans")))
+    assert got == {r.doc_id: r.m for r in fold.collect()} and sum(map(len, got.values())) > 50
+
+
 def test_windows_are_dealt_over_tasks(spark, tmp_path):
     def predict(frames):
         for f in frames:
