@@ -13,6 +13,7 @@ The folder is written by Python workers and must be in a file system that Arrow
 from __future__ import annotations
 
 import asyncio
+import io
 import json
 import time
 import uuid
@@ -24,9 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import settings, ship
 
 LINES = "key string, prompt string, reply string, error string, at double"
+#: Rows that a task holds at once, with their texts and calls made ready.
+ROWS = 256
 #: Calls after which a share of failures above the bound ends a task's asking.
 PATIENCE = 20
 
@@ -96,8 +99,8 @@ class _Book:
     def done(self) -> set[tuple[str, str]]:
         found = set()
         for f in self.files.get_file_info(fs.FileSelector(self.folder)):
-            with self.files.open_input_stream(f.path) as stream:
-                for line in stream.read().split(b"\n"):
+            with self.files.open_input_stream(f.path) as stream, io.BufferedReader(stream) as lines:
+                for line in lines:
                     try:
                         row = json.loads(line)
                         if row["error"] is None:
@@ -166,7 +169,8 @@ def ask_once(rows: DataFrame, client: Client, instructions: str, ledger: Ledger,
         yield pd.DataFrame({"asked": [asked], "failed": [failed], "error": [first]})
 
     barrier = spark.conf.get("spark.speculation", "false") == "true"
-    found = todo.mapInPandas(run, "asked long, failed long, error string", barrier=barrier).collect()  # a row for each task
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=ROWS):
+        found = todo.mapInPandas(run, "asked long, failed long, error string", barrier=barrier).collect()  # a row for each task
     for r in found:
         if r.asked >= PATIENCE and r.failed > most_failed * r.asked:
             raise CallsFailed(f"{r.failed} of {r.asked} calls of a task failed, the first with {r.error}")

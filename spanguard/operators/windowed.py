@@ -12,37 +12,22 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import SPAN_TYPE
 from ..scratch import Scratch
-from ..session import ship
+from ..session import settings, ship
 from .spans import merge_spans
 
 #: Frames that an Arrow batch holds.
 FRAMES = 8
 
 
-@contextmanager
-def settings(spark: SparkSession, **values):
-    """Settings of the session (``__`` for dots) for as long as a block runs."""
-    names = {k: k.replace("__", ".") for k in values}
-    before = {k: spark.conf.get(n, None) for k, n in names.items()}
-    for k, v in values.items():
-        spark.conf.set(names[k], str(v))
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(names[k]) if v is None else spark.conf.set(names[k], v)
-
-
 def window_rows(docs: DataFrame, tokens: Callable[[Column], Column], size: int = 512, overlap: int = 64, key: str = "_row") -> DataFrame:
     """Rows ``key``, window, start (of its first token, in the whole text), part (the window's text) and places.
 

@@ -222,6 +222,27 @@ assert {{r.unique_id: r.reply for r in out.collect()}} == {{i: f"re t{{i}}" for
     assert calls_in(tmp_path / "paid") == sorted([f"t{i}" for i in range(30)] + ["t17"])
 
 
+def test_a_task_holds_few_texts_at_once(spark, tmp_path):
+    """However many rows a task has, a bounded number of calls is made ready at once."""
+
+    def client():
+        import asyncio
+
+        async def call(instructions, value):
+            with open(f"{tmp_path}/{value}", "w") as out:
+                out.write(str(len(asyncio.all_tasks())))
+            return "said"
+
+        return call
+
+    rows = spark.range(3_000).select(F.col("id").alias("unique_id"), F.concat(F.lit("t"), F.col("id")).alias("code"))
+    conf = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    out = ledger.ask_once(rows, client, "x", ledger.Ledger(spark, f"{tmp_path}/ledger"), concurrency=2)
+    ready = [int((tmp_path / f"t{i}").read_text()) for i in range(3_000)]
+    assert max(ready) <= ledger.ROWS + 1 and out.where("reply = 'said'").count() == 3_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == conf
+
+
 def test_calls_at_once_are_bounded_over_tasks(spark, tmp_path):
     def client():
         import asyncio
